@@ -38,9 +38,11 @@ def lineage_check(frame: DataFrame) -> DataFrame:
     return check_rows(frame, {"source_period_known": count_when(unknown)})
 
 
-def read_raw_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_raw_csv(spark: SparkSession, paths: str | list[str], file_name: Column | None = None) -> DataFrame:
     """All files in one scan, every field as text, malformed rows fail the job.
 
+    `file_name` says how to derive the source file of a row when it is not the name of the file itself.
+
     Every column is parsed even when few are used, because a pruned parse can overlook a bad row. The
     reader compares header names without regard to case; `check_header` compares them exactly.
     """
@@ -49,7 +51,7 @@ def read_raw_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         .option("header", True).option("enforceSchema", False)
         .option("mode", "FAILFAST").option("encoding", "UTF-8").option("columnPruning", False)
     )
-    return with_lineage(reader.csv(paths))
+    return with_lineage(reader.csv(paths), file_name)
 
 
 def union_files(frames: list[DataFrame]) -> DataFrame:

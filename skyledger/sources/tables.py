@@ -7,6 +7,7 @@ month would put each month into one task.
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -28,9 +29,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="skyledger-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="skyledger-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
