@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyledger import contract as C
 from skyledger.functions.measures import all_of, any_of
-from skyledger.functions.text import normalized_text, safe_binary_flag, to_double
+from skyledger.functions.text import is_missing, safe_binary_flag, to_double
 
 
 def status_of(cancelled: Column, diverted: Column) -> Column:
@@ -27,7 +27,7 @@ def flight_status() -> Column:
 
 def raw_status() -> Column:
     """Status of a raw record, from the flag text."""
-    return status_of(to_double(normalized_text("CANCELLED")), to_double(normalized_text("DIVERTED")))
+    return status_of(to_double(F.col("CANCELLED")), to_double(F.col("DIVERTED")))
 
 
 def profile_status() -> Column:
@@ -44,7 +44,7 @@ def profile_status() -> Column:
 
 def missing_arrival_fields() -> Column:
     """Names of the blank essential arrival fields, in contract order."""
-    names = [F.when(normalized_text(c).isNull(), F.lit(c)) for c in C.ESSENTIAL_ARRIVAL]
+    names = [F.when(is_missing(c), F.lit(c)) for c in C.ESSENTIAL_ARRIVAL]
     return F.array_compact(F.array(*names))
 
 

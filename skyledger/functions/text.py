@@ -31,7 +31,7 @@ def to_double(text: Column) -> Column:
 def to_int(text: Column) -> Column:
     """Whole number in front of an optional fraction: '12.7' gives 12, 'abc' or an overflow gives NULL."""
     whole = F.regexp_replace(text, r"^\s*([+-]?)([0-9]*)\.[0-9]*\s*$", "$10$2")
-    return whole.try_cast("int")
+    return F.when(text.contains("."), whole).otherwise(text).try_cast("int")
 
 
 def parse_flight_timestamp(text: Column) -> Column:
@@ -44,20 +44,23 @@ def parse_flight_date(text: Column) -> Column:
 
 def safe_binary_flag(name: str) -> Column:
     """0 or 1 as int; every other value, 0.5 included, is NULL rather than truncated."""
-    number = to_double(normalized_text(name))
-    return F.when(number == 1.0, F.lit(1)).when(number == 0.0, F.lit(0))
+    number = to_double(F.col(name))
+    return F.when(number == 0.0, F.lit(0)).when(number == 1.0, F.lit(1))
 
 
 def typed_column(name: str) -> Column:
-    """The cleaned value of one raw column, by its contract type."""
-    text = normalized_text(name)
+    """The cleaned value of one raw column, by its contract type.
+
+    Casts to a number ignore outer spaces and turn blank text into NULL themselves.
+    """
+    text = F.col(name)
     if name in C.FLAG_COLUMNS:
         return safe_binary_flag(name)
     if name in C.INT_COLUMNS:
         return to_int(text)
     if name in C.MEASURE_COLUMNS:
         return to_double(text)
-    return parse_flight_date(text) if name == C.DATE_COLUMN else text
+    return parse_flight_date(F.trim(text)) if name == C.DATE_COLUMN else normalized_text(name)
 
 
 def is_clock(text: Column) -> Column:

@@ -10,8 +10,11 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger import contract as C
@@ -50,6 +53,41 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+_STAGED: dict[tuple, tuple[str, T.StructType]] = {}
+
+
+def stage_once(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+    """The staged form of a frame many queries start from, written at its first use in this application.
+
+    `key` must name everything the frame depends on. A staged table that has been cleared is written anew.
+    """
+    key = (spark.sparkContext.applicationId, *key)
+    for _ in range(2):
+        if key not in _STAGED:
+            frame, path = build(), scratch_path(spark, "staged")
+            frame.write.mode("errorifexists").parquet(path)
+            _STAGED[key] = path, frame.schema
+        path, schema = _STAGED[key]
+        try:
+            return spark.read.schema(schema).parquet(path)
+        except AnalysisException:
+            del _STAGED[key]
+    raise FileNotFoundError(f"staged table {key} cannot be read back")
+
+
+def inputs_version(spark: SparkSession, paths: list[str]) -> tuple:
+    """Number, size and age of input files, from the listing alone."""
+    listing = spark.read.format("binaryFile").load(paths)
+    return tuple(listing.agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string")).first())
+
+
+def spread(frame: DataFrame) -> DataFrame:
+    """Give a scan of fewer splits than there are cores one partition per core. A large scan has more
+    splits than cores and is left alone, so at scale there is no shuffle here."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
 def write_partitioned(cleaned: DataFrame, path: str) -> None:
     """Accepted records as Snappy Parquet under YEAR= / MONTH= folders."""
     (
