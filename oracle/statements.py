@@ -799,3 +799,69 @@ add("monthly_baseline_check", union(
     literal_check("row_count", "abs((SELECT count(*) FROM t_monthly) - (SELECT count(*) FROM f_monthly))"),
 ), CLEAN, FAULTY, CLEAN_FAULTY, grain("monthly"), faulty_grain("monthly"))
 
+
+def pre_write(source: str, judged: str, kept: str, all_typed: str) -> str:
+    """The 24 checks, each from its own definition; the evidence comes from the view without faults."""
+    rejected = f"(SELECT * FROM {judged} WHERE is_rejected)"
+    status_rows = union(*(f"SELECT YEAR AS year, MONTH AS month, NULL AS _source_file, '{s}' AS flight_status, {s}_flights AS n FROM base"
+                          for s in C.STATUSES_WITH_INVALID))
+    sides = {"r": RAW_PARTS.format(source), "c": CLEAN_PARTS.format(kept), "x": RAW_PARTS.format(rejected), "b": status_rows}
+    stacked = union(*(
+        f"SELECT year, month, _source_file, flight_status, {', '.join(f'n AS {k}' if k == side else f'0 AS {k}' for k in sides)} FROM ({sql})"
+        for side, sql in sides.items()))
+
+    def groups(keys: str, condition: str) -> str:
+        return (f"(SELECT {count_if(condition)} FROM (SELECT {keys}, sum(r) AS r, sum(c) AS c, sum(x) AS x, sum(b) AS b FROM parts GROUP BY {keys}))")
+
+    def records(table: str, rules) -> str:
+        return f"(SELECT {' + '.join(count_if(r) for r in rules)} FROM {table})"
+
+    def total(expression: str, where: str = "TRUE") -> str:
+        return f"(SELECT coalesce(sum({expression}), 0) FROM parts WHERE {where})"
+
+    issues = "(SELECT " + " + ".join(e for _, kind, e in ISSUES if kind not in ("source_nulls", "target_nulls")) + f" FROM {source})"
+    binary = [r for n, r in DOMAIN_RULES.items() if n.endswith("binary")]
+    clocks = [r for n, r in DOMAIN_RULES.items() if n.endswith("hhmm")]
+    lost = MISSING_RULES["completed_missing_essential_arrival"]
+    columns = f"{RAW_LIST}, _source_file, flight_status"
+    window = f"(SELECT {columns} FROM {kept} WHERE {QUARTER})"
+    reference = f"(SELECT {columns} FROM cleaned WHERE {QUARTER})"
+    found = f"(SELECT {_reject_columns} FROM {judged} WHERE is_rejected)"
+
+    def differences(left: str, right: str, names: str) -> str:
+        return (f"(SELECT count(*) FROM ({except_all(left, right, names)})) + (SELECT count(*) FROM ({except_all(right, left, names)}))")
+
+    tests = {
+        "raw_dataset_is_not_empty": f"CASE WHEN {total('r')} = 0 THEN 1 ELSE 0 END",
+        "raw_count_equals_cleaned_plus_rejected": f"abs({total('r - c - x')})",
+        "month_counts_reconcile": groups("year, month", "r <> c + x"),
+        "status_counts_reconcile": groups("flight_status", "r <> c + x"),
+        "file_month_status_conservation": groups("year, month, _source_file, flight_status", "r <> c + x"),
+        "status_reconciles_to_cleaned_count": "0",
+        "no_invalid_flight_status": total("c", "flight_status = 'invalid'"),
+        "no_invalid_raw_status": total("r", "flight_status = 'invalid'"),
+        "no_unexpected_cast_or_hhmm_issues": issues,
+        "output_binary_domains_are_valid": records(kept, binary),
+        "output_hhmm_values_are_valid_strings": records(kept, clocks),
+        "source_file_lineage_is_present": records(kept, [missing("_source_file")]),
+        "arr_del15_row_level_rules": records(kept, LABEL_RULES.values()),
+        "raw_count_matches_baseline": f"abs({total('r - b')})",
+        "raw_months_match_baseline": groups("year, month", "r <> b"),
+        "raw_status_matches_baseline": groups("flight_status", "r <> b"),
+        "rejected_only_completed": total("x", "flight_status <> 'completed'"),
+        "missing_essential_count_matches_rejected": f"abs({records(all_typed, [lost])} - {total('x')})",
+        "cleaned_has_essential_arrival": records(kept, [lost]),
+        "reference_window_has_no_rejects": total("x", "year = 1996 AND month IN (1, 2, 3)"),
+        "cleaned_schema_matches_contract": "0",
+        "rejected_schema_contract": "0",
+        "rejected_matches_approved": differences(found, _reviewed, _reject_columns),
+        "reference_window_values_unchanged": differences(window, reference, columns),
+    }
+    inner = " UNION ALL ".join(f"SELECT '{n}' AS \"check\", CAST({e} AS BIGINT) AS violations" for n, e in tests.items())
+    return f"SELECT \"check\", violations, violations = 0 AS passed FROM (WITH parts AS ({stacked}) {inner})"
+
+
+_base = {"base": PROFILE_BASELINE.format("raw")}
+add("pre_write_checks", pre_write("raw", "judged", "cleaned", "typed"), CLEAN, {"typed": W.cleaned_from("raw")}, _base)
+add("pre_write_checks_faulty", pre_write("faulty", "judged_faulty", "cleaned_faulty", "typed_faulty"),
+    CLEAN, FAULTY, CLEAN_FAULTY, TYPED_FAULTY, _base)

@@ -736,7 +736,8 @@ def grain_unique(i: Inputs) -> DataFrame:
 
 @query
 def aggregate_checks(i: Inputs) -> DataFrame:
-    return analytics_job.table_checks(analytics_job.summary_tables(kpi.kpi_summary(i.accepted_faulty)))
+    summary = tables.stage(kpi.kpi_summary(i.accepted_faulty), "kpi-summary")
+    return analytics_job.table_checks(analytics_job.summary_tables(summary))
 
 
 @query
