@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from skyledger import contract as C
 from skyledger.functions.measures import any_of, count_when
 from skyledger.functions.text import is_missing
+from skyledger.sources import tables
+
+BROADCAST_HASHES = 2_000_000  # 16 MB of hashes
 
 
 def _group_numbers(repeated: Column) -> list[Column]:
@@ -35,18 +38,29 @@ def exact_duplicates(raw: DataFrame) -> DataFrame:
 
     The first pass shuffles only 64-bit row hashes. A row whose hash occurs once has no copy; only
     rows with a repeated hash are compared in full, so hash collisions cannot change the result.
+
+    The repeated hashes are written out before the second pass, which makes their number known: up to
+    the limit they are broadcast and no record without a suspected copy is shuffled; beyond it copies
+    are common, and grouping all records is the cheaper way.
     """
-    hashed = raw.select(*C.RAW_COLUMNS, F.xxhash64(*C.RAW_COLUMNS).alias("_row_hash"))
-    repeated = (
-        hashed.groupBy("_row_hash").agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > 1).select("_row_hash")
+    row_hash = F.xxhash64(*C.RAW_COLUMNS)
+    repeated = tables.stage(
+        raw.groupBy(row_hash.alias("_row_hash")).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1).select("_row_hash"),
+        "repeated-row-hashes",
     )
-    return exact_duplicates_direct(hashed.join(repeated, "_row_hash", "left_semi"))
+    if repeated.limit(BROADCAST_HASHES + 1).count() > BROADCAST_HASHES:
+        return exact_duplicates_direct(raw)
+    suspects = raw.select(*C.RAW_COLUMNS, row_hash.alias("_row_hash"))
+    return exact_duplicates_direct(suspects.join(F.broadcast(repeated), "_row_hash", "left_semi"))
 
 
 def key_groups(raw: DataFrame) -> DataFrame:
-    """Rows per candidate key. Read by both operators below; persist it to share the shuffle."""
-    return raw.groupBy(*C.CANDIDATE_KEY).agg(F.count("*").alias("copies"))
+    """Row counts of the candidate keys that collide or are incomplete; keys with one row are left out.
+
+    Both operators below read it; stage it to run its shuffle once.
+    """
+    groups = raw.groupBy(*C.CANDIDATE_KEY).agg(F.count("*").alias("copies"))
+    return groups.filter((F.col("copies") > 1) | _incomplete())
 
 
 def _incomplete() -> Column:

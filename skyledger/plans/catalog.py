@@ -341,22 +341,22 @@ def kpi_summary_faulty(i: Inputs) -> DataFrame:
 
 @query
 def monthly_performance(i: Inputs) -> DataFrame:
-    return kpi.grain_performance(kpi.kpi_summary(i.accepted), "monthly")
+    return i.table("monthly")
 
 
 @query
 def airline_monthly_performance(i: Inputs) -> DataFrame:
-    return kpi.grain_performance(kpi.kpi_summary(i.accepted), "airline")
+    return i.table("airline")
 
 
 @query
 def origin_airport_monthly_performance(i: Inputs) -> DataFrame:
-    return kpi.grain_performance(kpi.kpi_summary(i.accepted), "origin_airport")
+    return i.table("origin_airport")
 
 
 @query
 def route_monthly_performance(i: Inputs) -> DataFrame:
-    return kpi.grain_performance(kpi.kpi_summary(i.accepted), "route")
+    return i.table("route")
 
 
 @query

@@ -12,10 +12,13 @@ from skyledger.sources import tables
 
 
 def build(raw: DataFrame, period: C.Period, files: DataFrame) -> dict[str, DataFrame]:
-    """All profile tables, lazily. `raw` is read once per table, so hand in a staged frame for text files."""
-    by_file = profiling.file_profile(raw).persist(StorageLevel.MEMORY_AND_DISK)  # one row per file
+    """All profile tables. `raw` is read once per table, so hand in a staged frame for text files.
+
+    What several tables share is small and computed once: one row per file, and the colliding keys.
+    """
+    by_file = profiling.file_profile(raw).persist(StorageLevel.MEMORY_AND_DISK)
     overall = profiling.overall_profile(by_file)
-    keys = duplicates.key_groups(raw)
+    keys = tables.stage(duplicates.key_groups(raw), "key-groups")
     return {
         "file_profile": by_file,
         "missing_by_file": profiling.missing_values(by_file),

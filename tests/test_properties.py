@@ -24,6 +24,17 @@ def test_rollup_equals_grouping_sets_over_flights(medium):
     assert same(kpi.kpi_summary(medium.accepted), kpi.kpi_summary_direct(medium.accepted))
 
 
+@pytest.mark.parametrize("level", C.GRAINS)
+def test_one_grain_equals_its_part_of_the_summary(medium, level):
+    assert same(kpi.grain_table(medium.accepted, level), kpi.grain_performance(kpi.kpi_summary(medium.accepted), level))
+
+
+def test_many_copies_take_the_direct_way(small, monkeypatch):
+    expected = duplicates.exact_duplicates(small.faulty).collect()
+    monkeypatch.setattr(duplicates, "BROADCAST_HASHES", 0)
+    assert duplicates.exact_duplicates(small.faulty).collect() == expected
+
+
 def test_accepted_and_rejected_are_all_records(medium):
     accepted, rejected = cleaning.split_arrival_records(cleaning.classify_arrival_records(medium.faulty))
     assert same(accepted.unionByName(rejected.select(*accepted.columns)), medium.faulty)
