@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skyledger import contract as C
 from skyledger.functions.measures import in_period
 from skyledger.operators import cleaning, kpi, ledger, profiling
-from skyledger.operators.checks import CheckFailure
+from skyledger.operators.checks import CheckFailure, assert_checks
 from skyledger.plans import analytics_job, cleaning_job, profile_job, summary_job
 from skyledger.sources import tables
 
@@ -66,12 +66,12 @@ def test_analytics_job(spark, accepted, tmp_path):
         analytics_job.preview(queries["airline_ranking"], 101)
 
 
-def test_analytics_regression_fails(accepted, tmp_path):
+def test_analytics_regression_fails(accepted):
     window = C.Period((1996,), (1, 2, 3))
-    bent = kpi.grain_table(accepted, "monthly").filter(in_period(window)).withColumn("total_flights", F.col("total_flights") + 1)
-    baseline = ledger.baseline_status_by_month(ledger.cleaned_partition_counts(accepted))
-    with pytest.raises(CheckFailure, match=r"counts.total_flights \(3\)"):
-        analytics_job.run(accepted, baseline, PERIOD, str(tmp_path), analytics_job.Reference({"monthly": bent}, window))
+    monthly = kpi.grain_table(accepted, "monthly")
+    bent = monthly.filter(in_period(window)).withColumn("total_flights", F.col("total_flights") + 1)
+    with pytest.raises(CheckFailure, match=r"^regression: counts.total_flights \(3\)$"):
+        assert_checks(analytics_job.regression_checks(monthly, bent, "monthly", window), "regression")
 
 
 def test_summary_job(accepted, tmp_path):
@@ -89,5 +89,6 @@ def test_profile_job(spark, raw, tmp_path):
     files = raw.select(F.col("_source_file").alias("file_name")).distinct()
     report = profile_job.run(raw, PERIOD, files, str(tmp_path / "full"))
     assert report["missing_overall"].count() == 36 and report["anomaly_counts"].count() == 39
-    with pytest.raises(CheckFailure, match="all_configured_files_have_rows"):
-        profile_job.run(raw, PERIOD, files.limit(3), str(tmp_path / "few"))
+    few = profiling.coverage_checks(report["file_profile"], PERIOD, files.limit(3))
+    with pytest.raises(CheckFailure, match=r"^profile: all_configured_files_have_rows \(69\)$"):
+        assert_checks(few, "profile")
