@@ -14,7 +14,6 @@ from skyledger.functions.measures import (
     any_of,
     count_violations,
     count_when,
-    in_period,
     is_finite,
     ratio,
     same_number,

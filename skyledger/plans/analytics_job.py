@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger import contract as C
+from skyledger.functions.measures import count_when, in_period
 from skyledger.operators import checks as K
 from skyledger.operators import kpi, ranking
 from skyledger.operators.compare import compare_aggregates, same_values
@@ -73,13 +74,13 @@ def regression_checks(table: DataFrame, reference: DataFrame, level: str, window
     def malformed(frame: DataFrame, side: str) -> DataFrame:
         stats = grain_stats(frame, grain, window)
         wrong = (F.col("rows") == 0) | (F.col("rows") != F.col("unique_keys")) | (F.col("periods") != months)
-        return K.check_rows(stats, {f"{side}_grain_and_periods": K.count_when(wrong) + F.sum("invalid_keys")})
+        return K.check_rows(stats, {f"{side}_grain_and_periods": count_when(wrong) + F.sum("invalid_keys")})
 
     compared = compare_aggregates(table, reference, grain, window).select(
         F.concat_ws(".", "kind", "measure").alias("check"),
         F.col("mismatches").alias("violations"), (F.col("mismatches") == 0).alias("passed"),
     )
-    current = table.filter(K.in_period(window))
+    current = table.filter(in_period(window))
     return K.all_checks([
         K.schema_check(reference, table.schema), malformed(current, "current"), malformed(reference, "reference"), compared,
     ])
