@@ -28,9 +28,10 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(batch: pa.RecordBatch, column: str, size: int = CHUNK) -> Iterator[pa.RecordBatch]:
+def chunks(batch: pa.RecordBatch, *columns: str, size: int | None = None) -> Iterator[pa.RecordBatch]:
     """Slices of consecutive rows with about `size` bytes of text each; a longer text is a slice by itself."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    size = size or CHUNK
+    lengths = sum(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
     ends, first = np.cumsum(lengths), 0
     while first < len(lengths):
         done = ends[first - 1] if first else 0
