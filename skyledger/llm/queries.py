@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import mixing, near_dedup, token_counts
+from skyledger.llm import mixing, near_dedup, quality, token_counts
 
 ORACLES: dict[str, str] = {}
 
@@ -28,13 +28,17 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mixed_sizes(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_token_counts, op5_near_dedup, op10_mixing)
+    f.__name__: f for f in (op2_token_counts, op5_near_dedup, op7_quality, op10_mixing)
 }
 
 # Sizes, ranks, capped shares (a source is capped if its cap per weight is at most the level that the sources before it
