@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat, mixing, near_dedup, quality, substring_dedup, token_counts
+from skyledger.llm import chat, language_id, mixing, near_dedup, quality, substring_dedup, token_counts
 
 ORACLES: dict[str, str] = {}
 
@@ -48,13 +48,17 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("tree").cast("long").alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mixed_sizes(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op5_near_dedup, op7_quality, op8_chat, op10_mixing)
+    f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op5_near_dedup, op7_quality, op8_chat, op9_language_id, op10_mixing)
 }
 
 # Sizes, ranks, capped shares (a source is capped if its cap per weight is at most the level that the sources before it
