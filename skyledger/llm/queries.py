@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat, language_id, mixing, near_dedup, quality, substring_dedup, token_counts
+from skyledger.llm import chat, language_id, mixing, near_dedup, neighbours, packing, quality, substring_dedup, token_counts
 
 ORACLES: dict[str, str] = {}
 
@@ -28,11 +28,20 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(token_counts.TOKENIZER))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(packing.TOKENIZER))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4, threshold_percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
@@ -58,7 +67,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op5_near_dedup, op7_quality, op8_chat, op9_language_id, op10_mixing)
+    f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op4_packing, op5_near_dedup, op6_neighbours, op7_quality, op8_chat, op9_language_id, op10_mixing)
 }
 
 # Sizes, ranks, capped shares (a source is capped if its cap per weight is at most the level that the sources before it
