@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat, language_id, mixing, near_dedup, neighbours, packing, quality, substring_dedup, token_counts
+from skyledger.llm import chat, language_id, mixing, near_dedup, neighbours, packing, quality, secret_scan, substring_dedup, token_counts
 
 ORACLES: dict[str, str] = {}
 
@@ -28,6 +28,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(token_counts.TOKENIZER))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.coalesce("scan.redacted", F.lit("")), 256)
+    return found.select("doc_id", "scan.n_candidates", F.size("scan.secrets").cast("long").alias("n_secrets"), "scan.secrets", digest.alias("redacted_sha256"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(packing.TOKENIZER))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -67,7 +73,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op4_packing, op5_near_dedup, op6_neighbours, op7_quality, op8_chat, op9_language_id, op10_mixing)
+    f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op3_secret_scan, op4_packing, op5_near_dedup, op6_neighbours, op7_quality, op8_chat, op9_language_id, op10_mixing)
 }
 
 # Sizes, ranks, capped shares (a source is capped if its cap per weight is at most the level that the sources before it
