@@ -154,7 +154,7 @@ def scorer(names: list[str], weights):
                     yield pa.record_batch({"doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"),
                                            "lang_pred": pa.array(lang, pa.string()), "score": np.where(known, value, 0.0)})
 
-    return score
+    return B.thrifty(score)
 
 
 def learned(docs: DataFrame):

@@ -73,7 +73,7 @@ def piece_cutter(path: str, capacity: int):
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["doc_id", "row", "piece", "start", "length", "ids_crc32"])
 
-    return cut
+    return B.thrifty(cut)
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:

@@ -83,15 +83,15 @@ def fences(rated: DataFrame, k: int = K, least: int = LEAST, fence: float = FENC
     n = F.sum("n").alias("n")
     groups = stage(rated.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("n"), *shaping), "sketches")
     languages = groups.groupBy("lang").agg(n, *merging)
-    overall = groups.agg(n, *merging)
-    named = lambda frame, tag: frame.select(*[F.col(c).alias(f"{tag}_{c}") for c in frame.columns])
-    placed = groups.join(named(languages, "l"), F.col("lang").eqNullSafe(F.col("l_lang"))).join(F.broadcast(named(overall, "a")))  # one row
+    quartiles = lambda sketch: F.call_function("kll_sketch_get_quantile_double", sketch, F.array(F.lit(0.25), F.lit(0.75)))
+    overall = groups.agg(n, *merging).select(*[F.when(F.col("n") > 0, quartiles(F.col(r))).alias(r) for r in RATIOS]).first()
+    placed = groups.join(languages.select(*[F.col(c).alias(f"l_{c}") for c in languages.columns]), F.col("lang").eqNullSafe(F.col("l_lang")))
     out = [F.col("lang"), F.col("source")]
     for ratio, (smallest, both) in RATIOS.items():
-        sketch = F.when(F.col("n") >= least, F.col(ratio)).when(F.col("l_n") >= least, F.col(f"l_{ratio}")).otherwise(F.col(f"a_{ratio}"))
-        quartiles = F.when(F.col("a_n") > 0, F.call_function("kll_sketch_get_quantile_double", sketch, F.array(F.lit(0.25), F.lit(0.75))))
-        width = fence * F.greatest(quartiles[1] - quartiles[0], F.lit(smallest))
-        out += [(quartiles[0] - width if both else F.lit(float("-inf"))).alias(f"{ratio}_low"), (quartiles[1] + width).alias(f"{ratio}_high")]
+        every = F.lit(None).cast("array<double>") if overall[ratio] is None else F.array(*[F.lit(float(q)) for q in overall[ratio]])
+        own = F.when(F.col("n") >= least, quartiles(F.col(ratio))).when(F.col("l_n") >= least, quartiles(F.col(f"l_{ratio}"))).otherwise(every)
+        width = fence * F.greatest(own[1] - own[0], F.lit(smallest))
+        out += [(own[0] - width if both else F.lit(float("-inf"))).alias(f"{ratio}_low"), (own[1] + width).alias(f"{ratio}_high")]
     return placed.select(*out)
 
 

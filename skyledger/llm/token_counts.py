@@ -102,7 +102,7 @@ def counter(path: str):
                     known = {}
                 yield pa.record_batch({"doc_id": rows.column("doc_id"), "n_bytes": np.diff(offsets), "n_tokens": sums[at[1:]] - sums[at[:-1]]})
 
-    return count
+    return B.thrifty(count)
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512) -> DataFrame:
