@@ -2,16 +2,18 @@
 
 1. One Arrow pass gives each document the digest of its shingle set, a band key per group of MinHash samples, and an odd
    sketch: a parity bitmap of all samples. Documents with equal sets are one class from here on.
-2. Classes that share a band key are candidates. In every bucket each class is held against the smallest one; the
-   XOR population count of two sketches estimates the similarity and drops pairs that are surely below the threshold.
-   Of what is left each class confirms one link on the full sets, and the links give first components.
+2. Classes that share a band key are candidates. In every bucket each class is held against the most popular one, the one
+   whose buckets are fullest; the XOR population count of two sketches estimates the similarity and drops pairs that are
+   surely below the threshold. Each class confirms the most similar pair that is left on the full sets, and the links give
+   first components; a group of near copies comes together around its original here.
 3. What is left to do are pairs of one bucket in different components. Only buckets with several components are joined
-   with themselves, classes outside the bucket's largest component against all, and the sketches are compared inside the
-   join, so a group of near copies, however large, never becomes all its pairs. Survivors are confirmed on the full sets.
+   with themselves, classes outside the bucket's largest component against all, each pair in the first band it shares. The
+   join compares a second, four times as precise odd sketch inside its condition, so near copies never become all their
+   pairs. Survivors are confirmed on the full sets.
 4. Components of all links, and the smallest doc_id of each.
 
 With ROWS samples per band and BANDS bands a pair at similarity 0.8 shares no band with probability
-(1 - 0.8^5)^32 < 4e-6, and the sketch limit lies five standard deviations away from its expected difference.
+(1 - 0.8^5)^32 < 4e-6, and the sketch limits lie five standard deviations away from the expected difference.
 
 Defined cases: A-Z is lower-cased and nothing else; null text and text without words have an empty set, link with nothing
 and are their own component; fewer words than a shingle are one shingle; rows with equal ids are separate documents; a
@@ -36,18 +38,39 @@ from skyledger.sources.tables import stage
 BANDS, ROWS = 32, 5
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
+PRECISE_SAMPLES, PRECISE_BITS = 1024, 4096
 DEVIATIONS = 5
 
 
-def sketch_limit(threshold: float) -> int:
+def sketch_limit(threshold: float, samples: int = SAMPLES, bits: int = SKETCH_BITS) -> int:
     """The largest XOR population count that a pair at the threshold can have, DEVIATIONS standard deviations up.
 
     s different samples toggle 2s bits of the two sketches; a bit differs with probability (1 - (1 - 2/n)^2s) / 2."""
-    n, s = SKETCH_BITS, SAMPLES * (1 - threshold)
-    mean = n / 2 * (1 - np.exp(-4 * s / n))
-    slope = 2 * np.exp(-4 * s / n)
-    spread = np.sqrt(SAMPLES * threshold * (1 - threshold) * slope**2 + mean * (1 - mean / n) - 2 * s * np.exp(-8 * s / n) / 2)
-    return int(np.ceil(mean + DEVIATIONS * spread))
+    s = samples * (1 - threshold)
+    mean = bits / 2 * (1 - np.exp(-4 * s / bits))
+    slope = 2 * np.exp(-4 * s / bits)
+    collisions = bits / 4 * (1 - np.exp(-8 * s / bits)) - 2 * s * np.exp(-8 * s / bits)
+    return int(np.ceil(mean + DEVIATIONS * np.sqrt(s * threshold * slope**2 + max(collisions, 0))))
+
+
+def min_samples(values: np.ndarray, at: np.ndarray, samples: int) -> np.ndarray:
+    """MinHash samples of sets that stand end to end in `values` and begin at `at`: sets x samples, hashes with the sample's
+    number mixed in."""
+    seeds = B.mix(np.arange(1, 2 * samples + 1, dtype=np.uint64))
+    flips, factors = seeds[:samples], seeds[samples:] | np.uint64(1)
+    least = np.stack([np.minimum.reduceat((values ^ f) * m, at) for f, m in zip(flips, factors)], axis=1)
+    return B.mix(least ^ flips)
+
+
+def odd_sketch(samples: np.ndarray, bits: int) -> np.ndarray:
+    """Parity bitmaps: each sample toggles one bit of its set's sketch."""
+    spot = (samples >> np.uint64(20)) % np.uint64(bits) + (np.arange(len(samples), dtype=np.uint64) * np.uint64(bits))[:, None]
+    parity = np.bincount(spot.ravel().astype(np.int64), minlength=len(samples) * bits) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.uint64).reshape(len(samples), -1)
+
+
+def long_lists(rows: np.ndarray) -> pa.Array:
+    return pa.FixedSizeListArray.from_arrays(pa.array(rows.view(np.int64).ravel()), rows.shape[1]).cast(pa.list_(pa.int64()))
 
 
 def shingle_sets(column: pa.Array, hasher: B.WordHasher, width: int) -> list[np.ndarray]:
@@ -77,8 +100,6 @@ def signer(width: int):
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = B.WordHasher()
-        seeds = B.mix(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64))
-        flips, factors = seeds[:SAMPLES], seeds[SAMPLES:] | np.uint64(1)
         for batch in batches:
             for rows in B.chunks(batch, "text"):
                 sets = shingle_sets(rows.column("text"), hasher, width)
@@ -87,25 +108,36 @@ def signer(width: int):
                 bands = np.zeros((len(sets), BANDS), np.uint64)
                 sketches = np.zeros((len(sets), SKETCH_BITS // 64), np.uint64)
                 if len(full):
-                    values = np.concatenate(sets)
-                    at = np.append(0, np.cumsum(sizes[full]))[:-1]
-                    samples = np.stack([np.minimum.reduceat((values ^ f) * m, at) for f, m in zip(flips, factors)], axis=1)
-                    tagged = B.mix(samples ^ flips)
-                    keyed = tagged[:, ::ROWS].copy()
+                    samples = min_samples(np.concatenate(sets), np.append(0, np.cumsum(sizes[full]))[:-1], SAMPLES)
+                    keyed = samples[:, ::ROWS].copy()
                     for j in range(1, ROWS):
-                        keyed = keyed * np.uint64(B.BASE) + tagged[:, j::ROWS]
+                        keyed = keyed * np.uint64(B.BASE) + samples[:, j::ROWS]
                     bands[full] = B.mix(keyed)
-                    spot = (tagged >> np.uint64(20)) % np.uint64(SKETCH_BITS) + (np.arange(len(full), dtype=np.uint64) * np.uint64(SKETCH_BITS))[:, None]
-                    parity = np.bincount(spot.ravel().astype(np.int64), minlength=len(full) * SKETCH_BITS) & 1
-                    sketches[full] = np.packbits(parity.astype(np.uint8)).view(np.uint64).reshape(len(full), -1)
+                    sketches[full] = odd_sketch(samples, SKETCH_BITS)
                 yield pa.record_batch({
                     "doc_id": rows.column("doc_id"), "row_key": rows.column("row_key"), "n_shingles": sizes,
                     "class": pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary()),
-                    "bands": pa.FixedSizeListArray.from_arrays(pa.array(bands.view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64())),
-                    "sketch": pa.FixedSizeListArray.from_arrays(pa.array(sketches.view(np.int64).ravel()), SKETCH_BITS // 64).cast(pa.list_(pa.int64())),
+                    "bands": long_lists(bands), "sketch": long_lists(sketches),
                 })
 
-    return sign
+    return B.thrifty(sign)
+
+
+def precise_signer(width: int):
+    """The Arrow function: (class, text) to (class, precise), leaving out texts of other sets than the class."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = B.WordHasher()
+        for batch in batches:
+            for rows in B.chunks(batch, "text"):
+                sets = shingle_sets(rows.column("text"), hasher, width)
+                right = [i for i, (s, c) in enumerate(zip(sets, rows.column("class").to_pylist())) if len(s) and set_digest(s) == c]
+                if right:
+                    sets = [sets[i] for i in right]
+                    samples = min_samples(np.concatenate(sets), np.append(0, np.cumsum([len(s) for s in sets]))[:-1], PRECISE_SAMPLES)
+                    yield pa.record_batch({"class": rows.column("class").take(pa.array(right)), "precise": long_lists(odd_sketch(samples, PRECISE_BITS))})
+
+    return B.thrifty(sign)
 
 
 def confirmer(width: int, threshold_percent: int):
@@ -124,18 +156,25 @@ def confirmer(width: int, threshold_percent: int):
                         keep.append(i)
                 yield pa.record_batch({"a": pa.array([a[i] for i in keep], pa.binary()), "b": pa.array([b[i] for i in keep], pa.binary())})
 
-    return confirm
+    return B.thrifty(confirm)
 
 
-def difference(left: Column, right: Column) -> Column:
+def difference(left: Column, right: Column, bits: int = SKETCH_BITS) -> Column:
     """Population count of the XOR of two sketches."""
-    counts = [F.bit_count(left[i].bitwiseXOR(right[i])) for i in range(SKETCH_BITS // 64)]
+    counts = [F.bit_count(left[i].bitwiseXOR(right[i])) for i in range(bits // 64)]
     total = counts[0]
     for c in counts[1:]:
         total = total + c
     return total
 
 
+def first_shared_band(left: Column, right: Column) -> Column:
+    found = F.when(left[0] == right[0], 0)
+    for i in range(1, BANDS):
+        found = found.when(left[i] == right[i], i)
+    return found
+
+
 def row_key(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id, text)
 
@@ -156,33 +195,41 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold_percent: int = 80
     classes = signed.where("class IS NOT NULL").groupBy("class").agg(F.min_by(F.struct("row_key", "bands", "sketch"), "row_key").alias("one")).select("class", "one.*")
     classes = stage(classes, "classes")
 
-    # Buckets that several classes share, and the smallest class of each.
-    filed = classes.select("class", F.posexplode("bands").alias("band", "value")).select("class", F.xxhash64("band", "value").alias("bucket"))
-    shared = filed.groupBy("bucket").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least <> most").select("bucket", "least")
+    # Buckets that several classes share, and the most popular class of each.
+    filed = classes.select("class", F.posexplode("bands").alias("band", "value")).select("class", "band", F.xxhash64("band", "value").alias("bucket"))
+    shared = filed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = stage(filed.join(shared, "bucket"), "members")
+    popular = members.groupBy("class").agg(F.sum("n").alias("weight"))
+    pivots = members.join(popular, "class").groupBy("bucket").agg(F.max(F.struct("weight", "class")).alias("pivot")).select("bucket", F.col("pivot.class").alias("b"))
 
-    # One confirmed link for each class: with the smallest of the buckets' smallest classes that the sketches allow.
+    # One confirmed link for each class: with the most similar pivot of its buckets.
     sketches = classes.select(F.col("class").alias("_class"), "sketch")
-    pairs = members.where("class <> least").select(F.col("class").alias("a"), F.col("least").alias("b")).distinct()
+    pairs = members.select("bucket", F.col("class").alias("a")).join(pivots, "bucket").where("a <> b").select("a", "b").distinct()
     pairs = pairs.join(sketches.select(F.col("_class").alias("a"), F.col("sketch").alias("sketch_a")), "a").join(sketches.select(F.col("_class").alias("b"), F.col("sketch").alias("sketch_b")), "b")
-    pairs = pairs.where(difference(F.col("sketch_a"), F.col("sketch_b")) <= limit).groupBy("a").agg(F.min("b").alias("b"))
-    wanted = members.select("class").distinct().join(classes.select("class", "row_key"), "class")
+    pairs = pairs.select("a", "b", difference(F.col("sketch_a"), F.col("sketch_b")).alias("differ")).where(F.col("differ") <= limit)
+    pairs = pairs.groupBy("a").agg(F.min(F.struct("differ", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+    wanted = popular.select("class").join(classes.select("class", "row_key"), "class")
     texts = stage(keyed.select("row_key", "text").join(wanted, "row_key").select("class", "text"), "texts")
     first = stage(confirmed(pairs, texts, width, threshold_percent), "links")
     labels = components(first)
 
     # The pairs of one bucket that are still in different components.
     known = labels.select(F.col("node").alias("class"), "label")
-    placed = members.select("bucket", "class").join(known, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    placed = members.select("bucket", "band", "class").join(known, "class", "left").withColumn("label", F.coalesce("label", "class"))
     placed = stage(placed, "placed")
     sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     open_ = sizes.groupBy("bucket").agg(F.count("*").alias("labels"), F.max_by("label", F.struct("n", "label")).alias("main")).where("labels > 1").select("bucket", "main")
-    open_members = placed.join(open_, "bucket").join(sketches.withColumnRenamed("_class", "class"), "class")
-    open_members = stage(open_members.select("bucket", "class", "label", "main", "sketch"), "open")
+    open_members = stage(placed.join(open_, "bucket"), "open")
+    precise = texts.join(open_members.select("class").distinct(), "class").mapInArrow(precise_signer(width), "class binary, precise array<long>")
+    precise = stage(precise.join(classes.select("class", "bands", "sketch"), "class"), "precise")
+    open_members = open_members.join(precise, "class")
     x, y = open_members.where("label <> main").alias("x"), open_members.alias("y")
-    close = (F.col("x.label") != F.col("y.label")) & ((F.col("y.label") == F.col("y.main")) | (F.col("x.class") < F.col("y.class"))) & (difference(F.col("x.sketch"), F.col("y.sketch")) <= limit)
-    rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & close).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
-    second = confirmed(rest, texts, width, threshold_percent)
+    close = (F.col("x.label") != F.col("y.label")) & ((F.col("y.label") == F.col("y.main")) | (F.col("x.class") < F.col("y.class")))
+    close &= difference(F.col("x.sketch"), F.col("y.sketch")) <= limit
+    close &= first_shared_band(F.col("x.bands"), F.col("y.bands")) == F.col("x.band")
+    close &= difference(F.col("x.precise"), F.col("y.precise"), PRECISE_BITS) <= sketch_limit(threshold_percent / 100, PRECISE_SAMPLES, PRECISE_BITS)
+    rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & close).select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
+    second = confirmed(rest.distinct(), texts, width, threshold_percent)
     labels = components(first.union(second))
 
     # The smallest document of each component, brought back to every row.
