@@ -166,18 +166,18 @@ add("unpivot_values", union(*(
 # --- filters ---------------------------------------------------------------------------
 
 RAW_COMPLETED = f"{dbl('CANCELLED')} = 0 AND {dbl('DIVERTED')} = 0"
-_markers = ", ".join(f"{missing(c)} AS missing_{c.lower()}" for c in C.ARRIVAL_FIELDS)
+_markers = ", ".join(f"{missing(c)} AS missing_{c.lower()}" for c in C.ESSENTIAL_ARRIVAL)
 SUSPECTS = {name: f"SELECT *, {_markers} FROM {source} WHERE {RAW_COMPLETED} AND "
-                  f"({' OR '.join(missing(c) for c in C.ARRIVAL_FIELDS)})"
+                  f"({' OR '.join(missing(c) for c in C.ESSENTIAL_ARRIVAL)})"
             for name, source in (("suspects", "raw"), ("suspects_faulty", "faulty"))}
-MARKERS = [f"missing_{c.lower()}" for c in C.ARRIVAL_FIELDS]
+MARKERS = [f"missing_{c.lower()}" for c in C.ESSENTIAL_ARRIVAL]
 
 
 def suspects(name: str) -> dict[str, str]:
     return {name: SUSPECTS[name]}
 
 
-add("arrival_suspects", f"SELECT _source_file, FL_DATE, OP_CARRIER_FL_NUM, TAIL_NUM, {', '.join(C.ARRIVAL_FIELDS + MARKERS)} "
+add("arrival_suspects", f"SELECT _source_file, FL_DATE, OP_CARRIER_FL_NUM, TAIL_NUM, {', '.join(C.ESSENTIAL_ARRIVAL + MARKERS)} "
     "FROM suspects_faulty", FAULTY, suspects("suspects_faulty"))
 add("eligible_delayed", counted("YEAR, MONTH", "cleaned_faulty", "eligible_flights", DELAYED), FAULTY, CLEAN_FAULTY)
 add("volume_threshold", "SELECT * FROM t_airline WHERE completed_flights >= 30 AND arrival_delay_rate IS NOT NULL",
@@ -584,12 +584,15 @@ BENT_AIRLINE = {"bent": f"""SELECT * REPLACE (
 
 def comparison(new: str, old: str, keys: list[str], counts: list[str], doubles: list[str], common: bool) -> list[tuple[str, str, str]]:
     both = "a.here AND b.here AND " if common else ""
-    tests = [("keys", "missing_keys", count_if(NO_A)), ("keys", "extra_keys", count_if(NO_B))]
+    listed = ", ".join(keys)
+    repeats = " UNION ".join(f"(SELECT {listed} FROM {t} GROUP BY ALL HAVING count(*) > 1)" for t in (new, old))
+    tests = [("keys", "missing_keys", count_if(NO_A)), ("keys", "extra_keys", count_if(NO_B)),
+             ("keys", "repeated_keys", f"(SELECT count(*) FROM ({repeats}))")]
     tests += [("counts", c, count_if(f"{both}a.{c} IS DISTINCT FROM b.{c}")) for c in counts]
     return tests + [("doubles", d, count_if(f"{both}NOT {near(f'a.{d}', f'b.{d}')}")) for d in doubles]
 
 
-_airline_tests = comparison("", "", [], C.COUNT_MEASURES, C.DOUBLE_MEASURES, False)
+_airline_tests = comparison(f"(SELECT * FROM t_airline WHERE {QUARTER})", "bent", C.GRAINS["airline"], C.COUNT_MEASURES, C.DOUBLE_MEASURES, False)
 _airline_pairs = full_join(f"(SELECT * FROM t_airline WHERE {QUARTER})", "bent", C.GRAINS["airline"])
 add("compare_aggregates", long(_airline_pairs, _airline_tests, ["kind", "measure", "mismatches"]), CLEAN, grain("airline"), BENT_AIRLINE)
 
@@ -607,15 +610,33 @@ add("aggregate_regression", union(
     malformed("bent", "reference"),
     checks(_airline_pairs, {f"{kind}.{measure}": e for kind, measure, e in _airline_tests}),
 ), CLEAN, grain("airline"), BENT_AIRLINE)
+BAND_COUNTS = ["total_flights", "completed_flights", "delayed_arrival_flights", "scheduled_2400_flights"]
 _bent_bands = ("(SELECT * REPLACE (total_flights + CASE WHEN time_band = 'Night' THEN 1 ELSE 0 END AS total_flights, "
                "CASE WHEN time_band <> 'Evening' THEN arrival_delay_rate + 1e-13 END AS arrival_delay_rate) FROM all_bands "
                f"WHERE {QUARTER} AND time_band <> 'Missing')")
 add("compare_summary", long(
     full_join(f"(SELECT * FROM all_bands WHERE {QUARTER})", _bent_bands, ["YEAR", "MONTH", "time_band"]),
-    comparison("", "", [], ["total_flights", "completed_flights", "delayed_arrival_flights", "scheduled_2400_flights"],
+    comparison(f"(SELECT * FROM all_bands WHERE {QUARTER})", _bent_bands, ["YEAR", "MONTH", "time_band"], BAND_COUNTS,
                ["arrival_delay_rate"], True), ["kind", "measure", "mismatches"]),
     CLEAN, {"all_bands": bands("cleaned")})
 
+# One month of the kept bands twice, and a band under a name that does not exist. Repeated keys are added up.
+_kept_bands = (f"(SELECT * REPLACE (CASE WHEN time_band = 'Evening' AND MONTH = 2 THEN 'Dusk' ELSE time_band END AS time_band) FROM ("
+               f"SELECT * FROM all_bands WHERE {QUARTER} UNION ALL SELECT * FROM all_bands WHERE YEAR = 1996 AND MONTH = 1))")
+_added_bands = (f"(SELECT YEAR, MONTH, time_band, {', '.join(f'sum({c}) AS {c}' for c in [*BAND_COUNTS, 'arrival_delay_rate'])} "
+                f"FROM {_kept_bands} GROUP BY ALL)")
+_band_names = ", ".join(f"'{b}'" for b in C.BAND_ORDER)
+add("summary_regression", union(
+    checks(_kept_bands, {
+        "reference_schema": "0",
+        "reference.departure_time_band_bounded_rows": f"greatest(count(*) - {3 * len(C.BAND_ORDER)}, 0)",
+        "reference_domain_and_period": bad(f"time_band IN ({_band_names}) AND {QUARTER}"),
+    }),
+    checks(full_join(f"(SELECT * FROM all_bands WHERE {QUARTER})", _added_bands, ["YEAR", "MONTH", "time_band"]), {
+        f"{kind}.{measure}": e for kind, measure, e in comparison(
+            f"(SELECT * FROM all_bands WHERE {QUARTER})", _kept_bands, ["YEAR", "MONTH", "time_band"], BAND_COUNTS, ["arrival_delay_rate"], True)}),
+), CLEAN, {"all_bands": bands("cleaned")})
+
 
 def except_all(left: str, right: str, columns: str) -> str:
     return f"SELECT {columns} FROM {left} EXCEPT ALL SELECT {columns} FROM {right}"
@@ -624,11 +645,10 @@ def except_all(left: str, right: str, columns: str) -> str:
 add("same_values", f"SELECT x AS only_left, y AS only_right, x = 0 AND y = 0 AS same FROM (SELECT "
     f"(SELECT count(*) FROM ({except_all('raw', 'faulty', RAW_LIST)})) AS x, (SELECT count(*) FROM ({except_all('faulty', 'raw', RAW_LIST)})) AS y)",
     FAULTY)
-_signed = "YEAR, MONTH, DAY_OF_WEEK, CANCELLED, DIVERTED"
+_signed = RAW_LIST
 add("signed_rows", f"SELECT {_signed}, CAST(sum(s) AS BIGINT) AS surplus FROM (SELECT {_signed}, 1 AS s FROM raw UNION ALL "
     f"SELECT {_signed}, -1 FROM faulty) GROUP BY ALL HAVING sum(s) <> 0", FAULTY)
-_shown = "_source_file, FL_DATE, OP_CARRIER_FL_NUM, TAIL_NUM, CANCELLED, DISTANCE"
-add("diff", union(except_all("raw", "faulty", _shown), except_all("faulty", "raw", _shown)), FAULTY)
+add("diff", union(except_all("raw", "faulty", RAW_LIST), except_all("faulty", "raw", RAW_LIST)), FAULTY)
 _reject_columns = f"{RAW_LIST}, {LINEAGE}"
 _kept = f"(SELECT {_reject_columns} FROM judged_faulty WHERE is_rejected)"
 _reviewed = f"(SELECT {_reject_columns} FROM judged WHERE is_rejected)"
@@ -865,3 +885,122 @@ _base = {"base": PROFILE_BASELINE.format("raw")}
 add("pre_write_checks", pre_write("raw", "judged", "cleaned", "typed"), CLEAN, {"typed": W.cleaned_from("raw")}, _base)
 add("pre_write_checks_faulty", pre_write("faulty", "judged_faulty", "cleaned_faulty", "typed_faulty"),
     CLEAN, FAULTY, CLEAN_FAULTY, TYPED_FAULTY, _base)
+
+
+# --- repeated months: each side is added up per month first, so totals hold every row ------
+
+
+def added(table: str, columns: list[str]) -> str:
+    return f"(SELECT YEAR, MONTH, count(*) AS times, {', '.join(f'sum({c}) AS {c}' for c in columns)} FROM {table} GROUP BY ALL)"
+
+
+def twice(table: str) -> str:
+    return f"(SELECT * FROM {table} UNION ALL SELECT * FROM {table} WHERE YEAR = 1996 AND MONTH = 1)"
+
+
+def not_once(*sides: str) -> str:
+    return count_if(" OR ".join([NO_A, NO_B] + [NO_P] * (len(sides) > 2) + [f"{s}.times > 1" for s in sides]))
+
+
+_status_invalid = [*C.STATUS_MEASURES, "invalid_flights"]
+_once = "(SELECT *, 1 AS times FROM period)"
+add("reconcile_baseline_repeated", checks(_three.format(added("t_monthly", C.STATUS_MEASURES), added(twice("baseline"), _status_invalid), _once), {
+    "configured_month_coverage": not_once("a", "b", "p"),
+    "month_counts": count_if(f"{EITHER} AND a.total_flights IS DISTINCT FROM b.total_flights"),
+    "total": "abs(sum(a.total_flights) - sum(b.total_flights))",
+    "no_invalid_status": "sum(b.invalid_flights)",
+    **{s: f"abs(sum(a.{s}_flights) - sum(b.{s}_flights))" for s in C.STATUSES},
+}), CLEAN, grain("monthly"), {"baseline": PROFILE_BASELINE.format("raw")}, PERIOD)
+_source_counts = [*C.STATUS_MEASURES, *_labels]
+add("reconcile_source_repeated", checks(_three.format(added(twice("source"), _source_counts), added("baseline", C.STATUS_MEASURES), added("t_monthly", _source_counts)), {
+    "same_months": not_once("a", "b", "p"),
+    **{f"baseline_{m}": count_if(f"a.{m} IS DISTINCT FROM b.{m} OR a.{m} IS DISTINCT FROM p.{m}") for m in C.STATUS_MEASURES},
+    **{f"monthly_{m}": count_if(f"a.{m} IS DISTINCT FROM p.{m}") for m in _labels},
+    "status_and_label_reconciliation": count_if(
+        "a.here AND NOT (a.total_flights = a.completed_flights + a.cancelled_flights + a.diverted_flights "
+        "AND a.completed_flights = a.delayed_arrival_flights + a.on_time_arrival_flights)"),
+}), CLEAN, grain("monthly"), {"baseline": BASELINE.format("cleaned"), "source": recount("cleaned")})
+INPUT_COUNTS = ("invalid_weekdays", "invalid_statuses", "invalid_labels", "invalid_cause_rows",
+                "status_flag_mismatches", "missing_completed_arrival", "nonfinite_arrival_delay")
+_minutes = [f"minutes_{c}" for c in C.CAUSE_COLUMNS]
+add("source_input_checks_repeated", checks(full_join(added(twice("source"), ["total_flights", *INPUT_COUNTS, *_minutes]), _once, YM), {
+    "input_nonempty": "CASE WHEN coalesce(sum(a.total_flights), 0) = 0 THEN 1 ELSE 0 END",
+    "input_configured_months": not_once("a", "b"),
+    **{f"input_{c}": f"sum(a.{c})" for c in INPUT_COUNTS},
+    "finite_monthly_cause_sums": count_if(" OR ".join(f"NOT isfinite(a.{m})" for m in _minutes)),
+}), CLEAN, {"source": recount("cleaned")}, PERIOD)
+
+
+# --- tables and files read back: what should have been written, computed from the view -----
+
+
+def csv_back(back: str) -> str:
+    listed = "YEAR, MONTH, time_band, " + ", ".join([*BAND_COUNTS, "arrival_delay_rate"])
+    both = [f"(SELECT count(*) FROM ({except_all(x, y, listed)}))" for x, y in (("all_bands", back), (back, "all_bands"))]
+    rows = f"(SELECT count(*) FROM {back})"
+    return checks("(SELECT 1)", {
+        "csv_schema": f"(SELECT count(*) FROM {back} WHERE FALSE)",
+        "departure_time_band_bounded_rows": f"greatest({rows} - (SELECT count(*) FROM period) * {len(C.BAND_ORDER)}, 0)",
+        "csv_rows": f"abs((SELECT count(*) FROM all_bands) - {rows})",
+        "csv_values": " + ".join(both),
+    })
+
+
+_bands = {"all_bands": bands("cleaned")}
+add("csv_round_trip", csv_back("all_bands"), CLEAN, _bands, PERIOD)
+add("csv_round_trip_faulty", csv_back(
+    "(SELECT * REPLACE (total_flights + CASE WHEN time_band = 'Night' THEN 1 ELSE 0 END AS total_flights) FROM all_bands WHERE time_band <> 'Evening')"),
+    CLEAN, _bands, PERIOD)
+
+
+def read_back(back: str, reject_back: str) -> str:
+    rejected = "(SELECT * FROM judged WHERE is_rejected)"
+    sides = {"r": RAW_PARTS.format("raw"), "c": CLEAN_PARTS.format("cleaned"), "x": RAW_PARTS.format(rejected),
+             "b": CLEAN_PARTS.format(back), "y": RAW_PARTS.format(reject_back)}
+    stacked = union(*(
+        f"SELECT year, month, _source_file, flight_status, {', '.join(f'n AS {k}' if k == side else f'0 AS {k}' for k in sides)} FROM ({sql})"
+        for side, sql in sides.items()))
+    partition = "year, month, _source_file, flight_status"
+
+    def groups(keys: str, condition: str) -> str:
+        sums = ", ".join(f"sum({k}) AS {k}" for k in sides)
+        return f"(SELECT {count_if(condition)} FROM (SELECT {sums} FROM parts GROUP BY {keys}))"
+
+    def records(rules) -> str:
+        return f"(SELECT {' + '.join(count_if(r) for r in rules)} FROM {back})"
+
+    def differences(left: str, right: str, names: str) -> str:
+        return f"(SELECT count(*) FROM ({except_all(left, right, names)})) + (SELECT count(*) FROM ({except_all(right, left, names)}))"
+
+    changed = " OR ".join(f"sum(CASE WHEN {rule} THEN s ELSE 0 END) <> 0" for rule in MISSING_RULES.values())
+    columns = f"{RAW_LIST}, _source_file, flight_status"
+    tests = {
+        "read_back_missingness_unchanged":
+            f"(SELECT count(*) FROM (SELECT YEAR, MONTH FROM (SELECT *, 1 AS s FROM cleaned UNION ALL SELECT *, -1 AS s FROM {back}) "
+            f"GROUP BY YEAR, MONTH HAVING {changed}))",
+        "read_back_essential_arrival_present": records([MISSING_RULES["completed_missing_essential_arrival"]]),
+        "read_back_rejected_counts": groups(partition, "x <> y"),
+        "read_back_partition_counts_unchanged": groups(partition, "c <> b OR x <> y"),
+        "read_back_raw_equals_accepted_plus_rejected": groups(partition, "r <> b + y"),
+        "read_back_count_matches_pre_write": "(SELECT abs(sum(c) - sum(b)) FROM parts)",
+        "read_back_months_match_pre_write": groups("year, month", "c <> b"),
+        "read_back_status_matches_pre_write": groups("flight_status", "c <> b"),
+        "read_back_status_reconciles":
+            f"(SELECT {count_if('flight_status IS NULL OR flight_status NOT IN (' + ', '.join(repr(s) for s in C.STATUSES_WITH_INVALID) + ')')} FROM {back})",
+        "read_back_arr_del15_rules": records(LABEL_RULES.values()),
+        "read_back_binary_domains_are_valid": records([r for n, r in DOMAIN_RULES.items() if n.endswith("binary")]),
+        "read_back_hhmm_values_are_valid_strings": records([r for n, r in DOMAIN_RULES.items() if n.endswith("hhmm")]),
+        "read_back_lineage_present": records([missing("_source_file")]),
+        "read_back_schema_matches_contract": f"(SELECT count(*) FROM {back} WHERE FALSE)",
+        "read_back_rejected_schema": f"(SELECT count(*) FROM {reject_back} WHERE FALSE)",
+        "read_back_rejected_all_values": differences(f"(SELECT {_reject_columns} FROM judged WHERE is_rejected)", f"(SELECT {_reject_columns} FROM {reject_back})", _reject_columns),
+        "read_back_reference_values_unchanged":
+            differences(f"(SELECT {columns} FROM {back} WHERE {QUARTER})", f"(SELECT {columns} FROM cleaned WHERE {QUARTER})", columns),
+    }
+    return f"SELECT * FROM (WITH parts AS ({stacked}) {checks('(SELECT 1)', tests)})"
+
+
+add("read_back_checks", read_back("cleaned", "(SELECT * FROM judged WHERE is_rejected)"), CLEAN)
+add("read_back_checks_faulty", read_back(
+    "(SELECT * REPLACE (DISTANCE + CASE WHEN OP_UNIQUE_CARRIER = 'C03' AND MONTH = 1 THEN 1 ELSE 0 END AS DISTANCE) FROM cleaned WHERE NOT (YEAR = 1996 AND MONTH = 2))",
+    "(SELECT * FROM judged WHERE is_rejected AND _source_month IS DISTINCT FROM 3)"), CLEAN)

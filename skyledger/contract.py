@@ -34,7 +34,6 @@ DATE_COLUMN = "FL_DATE"
 
 LINEAGE_COLUMNS = ["_source_file", "_source_year", "_source_month"]
 ESSENTIAL_ARRIVAL = ["ARR_TIME", "ARR_DELAY", "ARR_DEL15"]
-ARRIVAL_FIELDS = ["ARR_TIME", "ARR_DELAY", "ARR_DEL15"]
 CANDIDATE_KEY = [
     "FL_DATE", "OP_CARRIER_AIRLINE_ID", "OP_CARRIER_FL_NUM",
     "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID", "CRS_DEP_TIME",
@@ -75,6 +74,11 @@ COUNT_MEASURES = [
     "delayed_arrival_flights", "on_time_arrival_flights", "arrival_delay_observed_flights",
 ]
 STATUS_MEASURES = COUNT_MEASURES[:4]
+# identity -> a count and the counts it is the sum of
+COUNT_IDENTITIES = {
+    "status_reconciliation": ("total_flights", ["completed_flights", "cancelled_flights", "diverted_flights"]),
+    "label_reconciliation": ("completed_flights", ["delayed_arrival_flights", "on_time_arrival_flights"]),
+}
 RATE_PARTS = {
     "arrival_delay_rate": ("delayed_arrival_flights", "completed_flights"),
     "on_time_arrival_rate": ("on_time_arrival_flights", "completed_flights"),

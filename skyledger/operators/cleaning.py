@@ -56,8 +56,8 @@ def rejected_flights(raw: DataFrame) -> DataFrame:
 def arrival_suspects(raw: DataFrame) -> DataFrame:
     """Completed raw records with any blank arrival field, with one marker column per field."""
     completed = (to_double(F.col("CANCELLED")) == 0) & (to_double(F.col("DIVERTED")) == 0)
-    suspects = raw.filter(completed & any_of(is_missing(c) for c in C.ARRIVAL_FIELDS))
-    return suspects.select("*", *(is_missing(c).alias(f"missing_{c.lower()}") for c in C.ARRIVAL_FIELDS))
+    suspects = raw.filter(completed & any_of(is_missing(c) for c in C.ESSENTIAL_ARRIVAL))
+    return suspects.select("*", *(is_missing(c).alias(f"missing_{c.lower()}") for c in C.ESSENTIAL_ARRIVAL))
 
 
 def unpivot_causes(cleaned: DataFrame) -> DataFrame:

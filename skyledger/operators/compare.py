@@ -47,16 +47,16 @@ def same_values(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def diff(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Every row, copies included, that one side has more often than the other."""
-    right = right.select(*left.columns)
-    return left.exceptAll(right).unionByName(right.exceptAll(left))
+    """Every row, copies included, that one side has more often than the other; one shuffle of the rows."""
+    copies = F.explode(F.sequence(F.lit(1), F.abs("surplus")))
+    return signed_rows(left, right).withColumn("surplus", copies).select(*left.columns)
 
 
 def side_by_side(frames: dict[str, DataFrame], keys: list[str]) -> DataFrame:
     """One row per key found in any frame, with `<frame>__<column>` values and `<frame>__rows`.
 
     A full outer join of any number of frames in one shuffle: NULL keys match, a repeated key shows as
-    a row count above 1 instead of multiplying rows. Values are meaningful where the key is unique.
+    a row count above 1 instead of multiplying rows. Its numbers are added up, so totals hold all rows.
     """
     parts = []
     for name, frame in frames.items():
@@ -67,8 +67,11 @@ def side_by_side(frames: dict[str, DataFrame], keys: list[str]) -> DataFrame:
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part, allowMissingColumns=True)
-    values = [c for c in union.columns if c not in keys]
-    merged = [F.coalesce(F.sum(c), F.lit(0)).alias(c) if c.endswith("__rows") else F.max(c).alias(c) for c in values]
+    def merge(field: T.StructField) -> Column:
+        total = F.sum(field.name) if isinstance(field.dataType, T.NumericType) else F.max(field.name)
+        return (F.coalesce(total, F.lit(0)) if field.name.endswith("__rows") else total).alias(field.name)
+
+    merged = [merge(f) for f in union.schema if f.name not in keys]
     return union.groupBy(*keys).agg(*merged)
 
 
@@ -89,9 +92,10 @@ def _mismatches(current: DataFrame, reference: DataFrame, grain: list[str], comm
         new, old = F.col(f"new__{name}"), F.col(f"old__{name}")
         return compared & ~(same_number(new, old) if name in doubles else new.eqNullSafe(old))
 
-    tests = {"missing_keys": missing, "extra_keys": extra}
+    tests = {"missing_keys": missing, "extra_keys": extra,
+             "repeated_keys": (F.col("new__rows") > 1) | (F.col("old__rows") > 1)}
     tests |= {name: differs(name) for name in [*counts, *doubles]}
-    kinds = {"missing_keys": "keys", "extra_keys": "keys"}
+    kinds = {"missing_keys": "keys", "extra_keys": "keys", "repeated_keys": "keys"}
     kinds |= {c: "counts" for c in counts} | {c: "doubles" for c in doubles}
     wide = pairs.agg(*(count_when(test).alias(name) for name, test in tests.items()))
     return stacked(wide, [], ((kinds[n], n, F.col(n)) for n in tests), ["kind", "measure", "mismatches"])
@@ -101,7 +105,7 @@ def compare_aggregates(current: DataFrame, reference: DataFrame, grain: list[str
     """Mismatches per measure between the window of a new aggregate table and a kept reference table.
 
     Counts must be equal, doubles equal within tolerance, NULL equals only NULL. A missing or extra key
-    also counts in every measure. Check both sides with `grain_stats` first: keys must be unique.
+    also counts in every measure, and a key that a side repeats counts by itself.
     """
     return _mismatches(current.filter(in_period(window)), reference, grain, common_only=False)
 

@@ -12,7 +12,7 @@ from skyledger.operators.cleaning import classify_arrival_records
 from skyledger.operators.compare import same_values
 from skyledger.operators.shape import stacked
 
-MARKERS = [f"missing_{c.lower()}" for c in C.ARRIVAL_FIELDS]
+MARKERS = [f"missing_{c.lower()}" for c in C.ESSENTIAL_ARRIVAL]
 REVIEW_ORDER = ["_source_file", "FL_DATE", "OP_UNIQUE_CARRIER", "OP_CARRIER_FL_NUM", "ORIGIN", "DEST", "CRS_DEP_TIME"]
 
 
@@ -36,9 +36,10 @@ def arrival_diagnostic(suspects: DataFrame) -> DataFrame:
 
 
 def suspect_sample(suspects: DataFrame, n: int = 1000) -> DataFrame:
-    """The first suspects in review order; the remaining columns break ties."""
-    if not 1 <= n <= 1000:
-        raise ValueError("a review sample holds 1 to 1000 rows")
+    """The first n suspects in review order, to look at; the remaining columns break ties. Approval always works on
+    the complete suspects, never on this sample."""
+    if n < 1:
+        raise ValueError("a review sample holds at least one row")
     rest = [c for c in suspects.columns if c not in REVIEW_ORDER]
     return suspects.orderBy(*REVIEW_ORDER, *rest).limit(n)
 
@@ -64,7 +65,7 @@ def approved_reject_self_check(approved: DataFrame, recorded: DataFrame) -> Data
         count_violations(any_of(is_missing(c) for c in C.ESSENTIAL_ARRIVAL)).alias("without_missing_field"),
         count_violations(completed).alias("not_completed"),
         F.count("*").alias("_affected_rows"),
-        *(count_when(is_missing(c)).alias(f"_{m}") for c, m in zip(C.ARRIVAL_FIELDS, MARKERS)),
+        *(count_when(is_missing(c)).alias(f"_{m}") for c, m in zip(C.ESSENTIAL_ARRIVAL, MARKERS)),
     )
     names = ["affected_rows", *MARKERS]
     # One row beside one row: the union is summed, so no join is needed.

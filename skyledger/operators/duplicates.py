@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from skyledger import contract as C
 from skyledger.functions.measures import any_of, count_when
 from skyledger.functions.text import is_missing
-from skyledger.sources import tables
-
-BROADCAST_HASHES = 2_000_000  # 16 MB of hashes
 
 
 def _group_numbers(repeated: Column) -> list[Column]:
@@ -39,19 +36,13 @@ def exact_duplicates(raw: DataFrame) -> DataFrame:
     The first pass shuffles only 64-bit row hashes. A row whose hash occurs once has no copy; only
     rows with a repeated hash are compared in full, so hash collisions cannot change the result.
 
-    The repeated hashes are written out before the second pass, which makes their number known: up to
-    the limit they are broadcast and no record without a suspected copy is shuffled; beyond it copies
-    are common, and grouping all records is the cheaper way.
+    The join of records with the repeated hashes is left to adaptive execution: it broadcasts the hashes if
+    they turn out small and otherwise moves each record once, splitting a hash that very many records share.
     """
     row_hash = F.xxhash64(*C.RAW_COLUMNS)
-    repeated = tables.stage(
-        raw.groupBy(row_hash.alias("_row_hash")).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1).select("_row_hash"),
-        "repeated-row-hashes",
-    )
-    if repeated.limit(BROADCAST_HASHES + 1).count() > BROADCAST_HASHES:
-        return exact_duplicates_direct(raw)
+    repeated = raw.groupBy(row_hash.alias("_row_hash")).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1).select("_row_hash")
     suspects = raw.select(*C.RAW_COLUMNS, row_hash.alias("_row_hash"))
-    return exact_duplicates_direct(suspects.join(F.broadcast(repeated), "_row_hash", "left_semi"))
+    return exact_duplicates_direct(suspects.join(repeated, "_row_hash", "left_semi"))
 
 
 def key_groups(raw: DataFrame) -> DataFrame:

@@ -151,7 +151,9 @@ def write_aggregate(i: Inputs) -> DataFrame:
 
 @query
 def write_summary_csv(i: Inputs) -> DataFrame:
-    return tables.roundtrip_csv(kpi.delay_causes(i.accepted), tables.scratch_path(i.spark, "causes"))
+    causes, path = kpi.delay_causes(i.accepted), tables.scratch_path(i.spark, "causes")
+    tables.write_summary_csv(causes, path, kpi.ordered_causes)
+    return tables.read_summary_csv(i.spark, path, causes.schema)
 
 
 @query
@@ -269,7 +271,7 @@ def unpivot_values(i: Inputs) -> DataFrame:
 
 @query
 def arrival_suspects(i: Inputs) -> DataFrame:
-    shown = ["_source_file", "FL_DATE", "OP_CARRIER_FL_NUM", "TAIL_NUM", *C.ARRIVAL_FIELDS, *diagnostics.MARKERS]
+    shown = ["_source_file", "FL_DATE", "OP_CARRIER_FL_NUM", "TAIL_NUM", *C.ESSENTIAL_ARRIVAL, *diagnostics.MARKERS]
     return cleaning.arrival_suspects(i.faulty).select(*shown)
 
 
@@ -667,14 +669,12 @@ def same_values(i: Inputs) -> DataFrame:
 
 @query
 def signed_rows(i: Inputs) -> DataFrame:
-    shown = ["YEAR", "MONTH", "DAY_OF_WEEK", "CANCELLED", "DIVERTED"]
-    return compare.signed_rows(i.raw.select(*shown), i.faulty.select(*shown))
+    return compare.signed_rows(i.raw.select(*C.RAW_COLUMNS), i.faulty.select(*C.RAW_COLUMNS))
 
 
 @query
 def diff(i: Inputs) -> DataFrame:
-    shown = ["_source_file", "FL_DATE", "OP_CARRIER_FL_NUM", "TAIL_NUM", "CANCELLED", "DISTANCE"]
-    return compare.diff(i.raw.select(*shown), i.faulty.select(*shown))
+    return compare.diff(i.raw.select(*C.RAW_COLUMNS), i.faulty.select(*C.RAW_COLUMNS))
 
 
 @query
@@ -780,7 +780,47 @@ def monthly_baseline_check(i: Inputs) -> DataFrame:
 
 @query
 def csv_round_trip(i: Inputs) -> DataFrame:
-    return summary_job.csv_round_trip(kpi.departure_time_band(i.accepted), tables.scratch_path(i.spark, "bands"))
+    return summary_job.csv_round_trip(kpi.departure_time_band(i.accepted), tables.scratch_path(i.spark, "bands"), "departure_time_band", PERIOD)
+
+
+@query
+def csv_round_trip_faulty(i: Inputs) -> DataFrame:
+    """The exported file lacks one band and has a flight more in another."""
+    summary, path = kpi.departure_time_band(i.accepted), tables.scratch_path(i.spark, "bands")
+    bent = summary.where("time_band <> 'Evening'").withColumn("total_flights", F.col("total_flights") + F.when(F.col("time_band") == "Night", 1).otherwise(0))
+    tables.write_summary_csv(bent, path)
+    return summary_job.csv_checks(summary, path, "departure_time_band", PERIOD)
+
+
+JANUARY = "YEAR = 1996 AND MONTH = 1"
+
+
+def _twice(frame: DataFrame) -> DataFrame:
+    """A table of months that holds one of them twice."""
+    return frame.unionByName(frame.where(JANUARY))
+
+
+@query
+def reconcile_baseline_repeated(i: Inputs) -> DataFrame:
+    return K.reconcile_baseline(i.table("monthly"), _twice(ledger.profile_baseline(profiling.file_profile(i.raw))), PERIOD)
+
+
+@query
+def reconcile_source_repeated(i: Inputs) -> DataFrame:
+    return K.reconcile_source(_twice(recount.source_months(i.accepted)), i.baseline, i.table("monthly"))
+
+
+@query
+def source_input_checks_repeated(i: Inputs) -> DataFrame:
+    return K.source_input_checks(_twice(recount.source_months(i.accepted)), PERIOD)
+
+
+@query
+def summary_regression(i: Inputs) -> DataFrame:
+    """The reference holds one month twice and a band that does not exist."""
+    bands = kpi.departure_time_band(i.accepted)
+    kept = _twice(bands.filter(in_period(QUARTER))).withColumn("time_band", F.when((F.col("time_band") == "Evening") & (F.col("MONTH") == 2), "Dusk").otherwise(F.col("time_band")))
+    return summary_job.summary_regression(bands, kept, "departure_time_band", QUARTER)
 
 
 def _evidence(i: Inputs) -> cleaning_job.Evidence:
@@ -807,18 +847,31 @@ def pre_write_checks_faulty(i: Inputs) -> DataFrame:
     return _pre_write(i, i.faulty)
 
 
-@query
-def read_back_checks(i: Inputs) -> DataFrame:
+def _read_back(i: Inputs, written: Callable[[DataFrame], DataFrame], written_rejects: Callable[[DataFrame], DataFrame]) -> DataFrame:
     raw = i.raw
     accepted, rejected = cleaning.split_arrival_records(cleaning.classify_arrival_records(raw))
     cleaned = cleaning.clean_flights(accepted)
     accepted_path, rejected_path = (tables.scratch_path(i.spark, n) for n in ("accepted", "rejected"))
-    tables.write_rejected(rejected, rejected_path)
-    tables.write_partitioned(cleaned, accepted_path)
+    tables.write_rejected(written_rejects(rejected), rejected_path)
+    tables.write_partitioned(written(cleaned), accepted_path)
     return cleaning_job.read_back_checks(
         raw, cleaned, rejected, tables.read_cleaned(i.spark, accepted_path), i.spark.read.parquet(rejected_path), _evidence(i))
 
 
+@query
+def read_back_checks(i: Inputs) -> DataFrame:
+    return _read_back(i, lambda cleaned: cleaned, lambda rejected: rejected)
+
+
+@query
+def read_back_checks_faulty(i: Inputs) -> DataFrame:
+    """The written table lacks a month, has a longer distance for one carrier in another, and rejects of one month are lost."""
+    longer = F.col("DISTANCE") + F.when((F.col("OP_UNIQUE_CARRIER") == "C03") & (F.col("MONTH") == 1), 1).otherwise(0)
+    return _read_back(
+        i, lambda cleaned: cleaned.where("NOT (YEAR = 1996 AND MONTH = 2)").withColumn("DISTANCE", longer),
+        lambda rejected: rejected.where("NOT (_source_month <=> 3)"))
+
+
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build):
         return lambda spark, sf_dir: build(Inputs(spark, sf_dir))

@@ -40,10 +40,13 @@ def build(raw: DataFrame, period: C.Period, files: DataFrame) -> dict[str, DataF
 def run(raw: DataFrame, period: C.Period, files: DataFrame, folder: str) -> dict[str, DataFrame]:
     """Stage the records, write every profile table below `folder`, then fail if the coverage checks do."""
     spark = raw.sparkSession
-    report = build(tables.stage(raw, "raw"), period, files)
-    for name, frame in report.items():
-        tables.write_plain(frame, f"{folder}/{name}")
-    report["file_profile"].unpersist()
+    with tables.temporary(spark):
+        report = build(tables.stage(raw, "raw"), period, files)
+        try:
+            for name, frame in report.items():
+                tables.write_plain(frame, f"{folder}/{name}")
+        finally:
+            report["file_profile"].unpersist()
     written = {name: spark.read.parquet(f"{folder}/{name}") for name in report}
     assert_checks(written["coverage_checks"], "profile coverage")
     return written

@@ -11,7 +11,6 @@ from skyledger.operators.compare import side_by_side
 from skyledger.operators.checks import check_rows
 
 BYTE_ORDER_MARK = "\ufeff"
-HEADER_BYTES = 4096
 
 
 def source_period(file_name: Column) -> tuple[Column, Column]:
@@ -68,22 +67,40 @@ def file_sizes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return listing.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("size_bytes"))
 
 
+def _file_name() -> Column:
+    return F.element_at(F.split(F.input_file_name(), "/"), -1)
+
+
+def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Name and header names of each file: its first line, however long, found by the place of the line in the file.
+
+    The text source splits a file, and a partial minimum brings one line of each split to the shuffle."""
+    lines = spark.read.text(paths).select(
+        _file_name().alias("file_name"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"), "value")
+    first = lines.groupBy("file_name").agg(F.min_by("value", F.struct("block", "line")).alias("value"))
+    names = F.split(F.regexp_replace("value", f"^{BYTE_ORDER_MARK}|\r$", ""), ",")
+    return first.select("file_name", F.transform(names, lambda name: F.regexp_replace(name, '^"|"$', "")).alias("header"))
+
+
+def file_contents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Name, number of lines and an order-free digest of the lines of each file, in one pass that splits large files.
+
+    The digest adds up two hashes of every line: files with the same lines in another order have the same one."""
+    lines = spark.read.text(paths).select(_file_name().alias("file_name"), "value")
+    total = lambda seed: F.sum(F.xxhash64(F.lit(seed), "value").cast("decimal(38,0)")).cast("string")
+    return lines.groupBy("file_name").agg(F.count("*").alias("lines"), F.concat_ws("/", total(1), total(2)).alias("digest"))
+
+
 def file_facts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Name, size, SHA-256 and header names of each file, one read per file, files spread over the cluster.
+    """Name, size, SHA-256 and header names of each file, files spread over the cluster.
 
-    A file is one value of the `binaryFile` source, which ends at 2 GB; monthly files are 0.1 GB.
+    SHA-256 runs over a file from its first to its last byte, so a file is one value of the `binaryFile` source here, which
+    ends at 2 GB. `file_contents` has no such limit.
     """
     content = spark.read.format("binaryFile").load(paths)
-    # A cast, unlike decode, does not mind a character cut at the end of the piece.
-    start = F.substring("content", 1, HEADER_BYTES).cast("string")
-    first_line = F.regexp_replace(F.substring_index(start, "\n", 1), f"^{BYTE_ORDER_MARK}|\r$", "")
-    names = F.transform(F.split(first_line, ","), lambda name: F.regexp_replace(name, '^"|"$', ""))
-    return content.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.col("length").alias("size_bytes"),
-        F.sha2("content", 256).alias("sha256"),
-        names.alias("header"),
-    )
+    hashed = content.select(
+        F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
+    return hashed.join(file_headers(spark, paths), "file_name", "left")
 
 
 def header_problems(facts: DataFrame) -> DataFrame:

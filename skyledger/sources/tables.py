@@ -7,10 +7,11 @@ month would put each month into one task.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -49,10 +50,32 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame once to the shared folder and read it back: later passes scan pruned columns instead
     of repeating the work, and a lost executor costs nothing."""
     path = scratch_path(frame.sparkSession, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     frame.write.mode("errorifexists").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is removed at the end, also after a failure. Write or collect the results inside."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            discard(spark, path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a staged table with the file system its path belongs to, wherever that is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 _STAGED: dict[tuple, tuple[str, T.StructType]] = {}
 
 
@@ -81,13 +104,6 @@ def inputs_version(spark: SparkSession, paths: list[str]) -> tuple:
     return tuple(listing.agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string")).first())
 
 
-def spread(frame: DataFrame) -> DataFrame:
-    """Give a scan of fewer splits than there are cores one partition per core. A large scan has more
-    splits than cores and is left alone, so at scale there is no shuffle here."""
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
-
-
 def write_partitioned(cleaned: DataFrame, path: str) -> None:
     """Accepted records as Snappy Parquet under YEAR= / MONTH= folders."""
     (
@@ -115,11 +131,11 @@ write_rejected = write_plain
 write_aggregate = write_plain
 
 
-def write_summary_csv(summary: DataFrame, path: str) -> None:
-    """A weekday, band or cause table as one CSV file. It has a few rows per month, and unlike coalesce(1)
-    the repartition leaves the aggregation before it parallel."""
+def write_summary_csv(summary: DataFrame, path: str, order: Callable[[DataFrame], DataFrame] = lambda frame: frame) -> None:
+    """A weekday, band or cause table as one CSV file with its rows in `order`. It has a few rows per month, and unlike
+    coalesce(1) the repartition leaves the aggregation before it parallel; one partition is sorted without a shuffle."""
     (
-        summary.repartition(1)
+        order(summary.repartition(1))
         .write.mode("errorifexists").option("header", True).option("nullValue", NULL_TEXT).csv(path)
     )
 
@@ -145,6 +161,7 @@ def roundtrip_parquet(frame: DataFrame, path: str, partition_columns: list[str])
     return frame.sparkSession.read.parquet(path).select(*frame.columns)
 
 
-def roundtrip_csv(summary: DataFrame, path: str) -> DataFrame:
-    write_summary_csv(summary, path)
-    return read_summary_csv(summary.sparkSession, path, summary.schema)
+def csv_header(spark: SparkSession, path: str) -> DataFrame:
+    """The header line of a CSV summary as one row: its names in order."""
+    line = spark.read.text(path).select(F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"), "value")
+    return line.agg(F.split(F.min_by("value", "at"), ",").alias("names"))

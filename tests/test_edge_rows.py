@@ -143,7 +143,7 @@ def test_tolerances(spark):
     old = new.withColumn("arrival_delay_rate", F.col("arrival_delay_rate") + 1e-13).withColumn(
         "completed_flights", F.col("completed_flights") + F.when(F.col("OP_UNIQUE_CARRIER") == "A", 1).otherwise(0))
     found = {r["measure"]: r["mismatches"] for r in rows(compare.compare_aggregates(new, old, grain, C.Period((2025,), (1,))))}
-    assert found == {"missing_keys": 0, "extra_keys": 0, "completed_flights": 1, "delayed_arrival_flights": 0, "arrival_delay_rate": 0}
+    assert found == {"missing_keys": 0, "extra_keys": 0, "repeated_keys": 0, "completed_flights": 1, "delayed_arrival_flights": 0, "arrival_delay_rate": 0}
 
 
 def test_same_values_needs_same_types_and_copies(spark):

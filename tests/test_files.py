@@ -108,3 +108,39 @@ def test_staged_table_is_written_again_when_cleared(spark, tmp_path):
     key = next(k for k in tables._STAGED if k[1:] == ("test",))
     tables._STAGED[key] = (f"{tmp_path}/gone", first.schema)
     assert tables.stage_once(spark, ("test",), lambda: spark.range(3)).count() == 3
+
+
+def test_summary_csv_keeps_the_order_of_the_query(spark, medium, tmp_path):
+    from skyledger.operators import kpi
+    from skyledger.plans import summary_job
+
+    for name, (build, order, _) in summary_job.QUERIES.items():
+        summary = build(medium.accepted)
+        tables.write_summary_csv(summary, f"{tmp_path}/{name}", order)
+        part, = (tmp_path / name).glob("part-*.csv")
+        lines = part.read_text().splitlines()
+        assert lines[0] == ",".join(summary.columns)
+        keys = [tuple(str(v) for v in r[:3]) for r in order(summary).collect()]
+        assert [tuple(line.split(",")[:3]) for line in lines[1:]] == keys
+
+
+def test_staged_tables_inside_a_scope_are_removed(spark, tmp_path):
+    with tables.temporary(spark):
+        staged = tables.stage(spark.range(3), "scoped")
+        path = staged.inputFiles()[0]
+        assert staged.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_first_line_of_any_length(spark, tmp_path):
+    long = ",".join(f"c{i}" for i in range(5000))
+    (tmp_path / "wide.csv").write_text(long + "\n1,2\n")
+    assert files.file_headers(spark, f"{tmp_path}/wide.csv").first()["header"] == long.split(",")
+
+
+def test_contents_tell_changed_files_apart(spark, tmp_path):
+    for name, text in {"a.csv": "x\n1\n2\n", "b.csv": "x\n2\n1\n", "c.csv": "x\n1\n3\n"}.items():
+        (tmp_path / name).write_text(text)
+    found = {r["file_name"]: (r["lines"], r["digest"]) for r in files.file_contents(spark, f"{tmp_path}/*.csv").collect()}
+    assert found["a.csv"] == found["b.csv"] != found["c.csv"] and found["a.csv"][0] == 3

@@ -63,7 +63,7 @@ def test_analytics_job(spark, accepted, tmp_path):
     queries = analytics_job.business_queries(stored, 1)
     assert analytics_job.preview(queries["airline_ranking"], 5).count() == 5
     with pytest.raises(ValueError):
-        analytics_job.preview(queries["airline_ranking"], 101)
+        analytics_job.preview(queries["airline_ranking"], 0)
 
 
 def test_analytics_regression_fails(accepted):

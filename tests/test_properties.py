@@ -29,10 +29,14 @@ def test_one_grain_equals_its_part_of_the_summary(medium, level):
     assert same(kpi.grain_table(medium.accepted, level), kpi.grain_performance(kpi.kpi_summary(medium.accepted), level))
 
 
-def test_many_copies_take_the_direct_way(small, monkeypatch):
-    expected = duplicates.exact_duplicates(small.faulty).collect()
-    monkeypatch.setattr(duplicates, "BROADCAST_HASHES", 0)
-    assert duplicates.exact_duplicates(small.faulty).collect() == expected
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_duplicates_agree_with_and_without_broadcasts(spark, small, broadcast):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        assert duplicates.exact_duplicates(small.faulty).collect() == duplicates.exact_duplicates_direct(small.faulty).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_accepted_and_rejected_are_all_records(medium):
