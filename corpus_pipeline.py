@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm import language_id, mixing, near_dedup, packing, secret_scan
-from skyledger.sources.tables import stage
+from skyledger.sources import tables
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of `sf_dir`; the rows of the last one."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of `sf_dir`; the rows of the last one. What a stage stages for itself and the
+    documents it read are removed once its result is written."""
+    docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        written = tables.scratch_path(spark, name)
+        with tables.temporary(spark):
+            result = step(spark, docs, sf_dir)
+            result.write.parquet(written)
+        if read:
+            tables.discard(spark, read)
+        docs, read = spark.read.schema(result.schema).parquet(written), written
     return docs
