@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.columns import fresh
@@ -77,7 +77,10 @@ def scanned(docs: DataFrame, known: list[str], name: str) -> DataFrame:
     parts = F.struct(between.alias("between"), found.alias("found"))
     split = docs.withColumn(name, F.when(F.regexp_like(text, F.lit(CANDIDATE)), parts).otherwise(F.struct(F.array(text).alias("between"), F.array().cast("array<string>").alias("found"))))
     cell = F.col(name)
-    judged = F.transform(cell["found"], lambda c, i: F.struct(c.alias("text"), features(c, F.get(cell["between"], i), F.get(cell["between"], i + 1), known).alias("of")))
+    # Each candidate meets its surroundings first, so that what is computed for one reads nothing outside of it.
+    n = F.size(cell["found"])
+    around = F.zip_with(F.slice(cell["between"], 1, n), F.slice(cell["between"], 2, n), lambda b, a: F.struct(b.alias("before"), a.alias("after")))
+    judged = F.zip_with(cell["found"], around, lambda c, s: F.struct(c.alias("text"), features(c, s["before"], s["after"], known).alias("of")))
     tidy = F.transform(judged, lambda c: F.struct(c["text"].alias("text"), F.struct(*[(1 - c["of"]["_plain"] if f == "symbols" else c["of"][f]).alias(f) for f in FEATURES]).alias("of")))
     return split.withColumn(name, F.struct(cell["between"].alias("between"), tidy.alias("found")))
 
@@ -93,11 +96,12 @@ def plain_label(of: Column) -> Column:
 def labelled_findings(docs: DataFrame, known: list[str], training: int = TRAINING) -> DataFrame:
     """(label, features): at most `training` plain findings of each kind, each also without its neighbouring words."""
     name = fresh(docs, "_scan")
-    rows = scanned(docs.select("text"), known, name).select(F.explode(F.col(f"{name}.found")).alias("c"))
+    # explode_outer: explode would add a filter on the size of the array and compute it twice.
+    rows = scanned(docs.select("text"), known, name).select(F.explode_outer(F.col(f"{name}.found")).alias("c"))
     rows = rows.select(plain_label(F.col("c.of")).alias("label"), F.xxhash64("c").alias("h"), "c.of.*").where("label IS NOT NULL")
-    some = [rows.where(F.col("label") == kind).orderBy("h").limit(training) for kind in (0.0, 1.0)]
+    place = F.row_number().over(Window.partitionBy("label").orderBy("h"))  # the limit is applied before the shuffle
     bare = lambda frame: frame.withColumns({n: F.lit(0.0) for n in NEIGHBOURS})
-    picked = stage(some[0].union(some[1]), "findings")
+    picked = stage(rows.withColumn("place", place).where(F.col("place") <= training).drop("place"), "findings")
     return picked.union(bare(picked)).select("label", *FEATURES)
 
 
@@ -141,9 +145,10 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, threshold: float =
     scored = F.transform(cell["found"], lambda c: F.struct(c["text"].alias("text"), probability(model, c["of"]).alias("score")))
     rows = rows.withColumn(name, F.struct(cell["between"].alias("between"), scored.alias("found")))
     # The masked texts and the texts between take turns; one more string between than candidates.
-    masked = F.transform(cell["between"], lambda b, i: F.concat(b, F.coalesce(F.when(F.get(cell["found"], i)["score"] > threshold, F.lit(MASK)).otherwise(F.get(cell["found"], i)["text"]), F.lit(""))))
+    shown = lambda c: F.coalesce(F.when(c["score"] > threshold, F.lit(MASK)).otherwise(c["text"]), F.lit(""))
+    masked = F.zip_with(cell["between"], cell["found"], lambda b, c: F.concat(b, shown(c)))
     secret = "struct<start:int,length:int,score:double>"
-    place = F.transform(cell["found"], lambda c, i: F.struct(F.length(F.get(cell["between"], i)).alias("gap"), F.length(c["text"]).alias("length"), c["score"].alias("score")))
+    place = F.zip_with(cell["between"], cell["found"], lambda b, c: F.struct(F.length(b).alias("gap"), F.coalesce(F.length(c["text"]), F.lit(0)).alias("length"), F.coalesce(c["score"], F.lit(0.0)).alias("score")))
 
     def step(state: Column, c: Column) -> Column:
         start = state["at"] + c["gap"]
