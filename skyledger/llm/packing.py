@@ -1,7 +1,7 @@
 """Best-fit packing with swap-based local search (operator 4).
 
 1. One Arrow pass tokenizes whole documents. White space ends a token in this tokenizer, so the different words of a chunk
-   are encoded once and a document's ids are put together from its words. A document longer than a sequence is cut into
+   (cut and lower-cased where that changes no token) are encoded once and a document's ids are put together from them. A document longer than a sequence is cut into
    pieces; only lengths, places and checksums are kept.
 2. Pieces are dealt by hash into shards of about SHARD. A task packs a shard best-fit by falling length and then improves it:
    the least filled bin gives documents to fuller ones by a move, a one-for-one or a two-for-one exchange. Every exchange
@@ -15,6 +15,7 @@ an empty table gives an empty result; further columns of any name do no harm.
 
 from __future__ import annotations
 
+import array
 import bisect
 import zlib
 from collections.abc import Iterator
@@ -39,6 +40,35 @@ OPEN_BELOW = 0.97
 PARTNERS = 400
 
 
+SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
+APOSTROPHE = 0x27
+
+
+def encodable_parts(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words (each with a blank behind it) as parts that the tokenizer treats alike on their own: the bytes without the
+    blanks, and where parts begin.
+
+    This tokenizer lower-cases, and no token of it spans an ASCII letter and an ASCII character that is none, but for the
+    contractions, which begin with an apostrophe; so words are cut there and ASCII letters lower-cased, unless a character
+    that could combine with the letter follows. Far fewer different parts are left to encode. Special tokens would be torn
+    apart, so where one might be, words stay as they are."""
+    small = data | 32
+    letter = (small >= ord("a")) & (small <= ord("z"))
+    plain = data < 0x80
+    lowered = data.copy()
+    change = letter[:-1] & plain[1:]
+    lowered[:-1][change] = small[:-1][change]
+    solid = data != 0x20
+    text = B.lower_ascii(data).tobytes()
+    special = any(token in text for token in SPECIAL)
+    cut = np.zeros(len(data), bool)
+    cut[begins[:-1]] = True
+    if not special:
+        cut[1:] |= letter[:-1] & plain[1:] & ~letter[1:] & solid[1:]
+        cut[1:] |= plain[:-1] & ~letter[:-1] & (data[:-1] != APOSTROPHE) & letter[1:]
+    return (data if special else lowered)[solid], np.flatnonzero(cut[solid])
+
+
 def piece_cutter(path: str, capacity: int):
     """The Arrow function: (doc_id, row, text) to one row for each piece of each document."""
 
@@ -47,21 +77,23 @@ def piece_cutter(path: str, capacity: int):
         for batch in batches:
             for rows in B.chunks(batch, "text"):
                 data, begins, first = packed_words(rows.column("text"))
-                words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begins) - 1, [None, pa.py_buffer(begins.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-                distinct, which = words.dictionary.to_pylist(), words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                solid, starts_at = encodable_parts(data, begins) if len(data) else (data, begins[:0])
+                bounds = np.append(starts_at, len(solid)).astype(np.int64)
+                parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts_at), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(solid))]).dictionary_encode()
+                distinct, which = parts.dictionary.to_pylist(), parts.indices.to_numpy(zero_copy_only=False).astype(np.int64)
                 new = [w for w in distinct if w not in known]
                 fresh = iter(new)
-                for group in encode_groups([w[:-1] for w in new]):
+                for group in encode_groups(new):
                     for encoded in tokenizer.encode_batch_fast(group, add_special_tokens=False):
-                        known[next(fresh)] = np.array(encoded.ids, "<u4")
+                        known[next(fresh)] = array.array("I", encoded.ids).tobytes()
                 ids_of = [known[w] for w in distinct]
-                sizes = np.fromiter(map(len, ids_of), np.int64, len(ids_of))
-                pool = np.concatenate([*ids_of, np.zeros(0, "<u4")])
+                sizes = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4
+                pool = np.frombuffer(b"".join(ids_of), np.uint32)
                 starts = np.append(0, np.cumsum(sizes))[:-1]
                 lengths = sizes[which] if len(which) else np.zeros(0, np.int64)
                 ends = np.append(0, np.cumsum(lengths))
                 stream = pool[np.repeat(starts[which] - ends[:-1], lengths) + np.arange(ends[-1])] if len(which) else pool[:0]
-                cuts = ends[first]
+                cuts = ends[np.searchsorted(starts_at, begins[first] - first)]
                 out = []
                 for i, (doc_id, row) in enumerate(zip(rows.column("doc_id").to_pylist(), rows.column("row").to_pylist())):
                     ids = np.append(stream[cuts[i] : cuts[i + 1]], np.uint32(END)).astype("<u4")
@@ -69,7 +101,7 @@ def piece_cutter(path: str, capacity: int):
                         part = ids[start : start + capacity]
                         out.append((doc_id, row, piece, start, len(part), zlib.crc32(part.tobytes())))
                 if len(known) > KNOWN:
-                    known = {}
+                    known = dict(zip(distinct, ids_of))
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["doc_id", "row", "piece", "start", "length", "ids_crc32"])
 

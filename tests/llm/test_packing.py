@@ -44,6 +44,17 @@ def test_whole_table(spark, documents):
     assert over <= 1
 
 
+NASTY = ["It's", "WE'LL", "a'b", "''s", "x1y2", "J\u030c", "I\u0307", "É", "E\u0301", "<|endoftext|>", "<|ENDOFTEXT|>", "a<|startoftext|>B", "A.B-c_d", "1\u0301", "\x1cA\x1f", "K\u212aK", "ſS", "ß.É", "don't.Stop'Twas", "汉A字", "\u200bA"]
+
+
+def test_parts_of_words_encode_like_whole_texts(spark, docs_of, monkeypatch):
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(NASTY) + rng.choice(["", *NASTY]) for _ in range(rng.randrange(30)))) for i in range(200)]
+    for size in (packing.B.CHUNK, 300):
+        monkeypatch.setattr(packing.B, "CHUNK", size)
+        check(packing.pack(docs_of(rows), PATH).collect(), rows)
+
+
 def test_several_shards_stay_close_to_the_bound(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     texts = [(r.doc_id, r.text) for r in table.collect()]
