@@ -6,14 +6,17 @@ words) to the bucket of the minimiser, instead of one string per window. In a bu
 are sorted, and each window learns the smallest doc_id it occurs in. Windows sort by a hash of those numbers, and
 neighbours are compared number by number, so equal means equal words.
 
-Buckets are sorted within a task and taken in groups of about CHUNK bytes, so memory does not depend on the partition.
+Buckets are dealt into GROUPS groups per shuffle partition. A chunk of documents sends one compressed row to each group with
+all its packed strings for it, which more than halves what is shuffled. A task sorts its rows by group and holds one group
+at a time, about 1 / (GROUPS * partitions) of the super-k-mers.
 A minimiser above 1 / (HEAVY * shuffle partitions) of all super-k-mers, found by a first pass that counts per chunk, is
 heavy: there are at most HEAVY * partitions of them. Its windows travel one by one and meet in a pre-aggregated minimum
 and a join that adaptive execution can split, so a passage in a third of all documents burdens no task. Which minimisers
 are heavy decides only the way, never the result.
 
 Defined cases: words are unchanged runs without ASCII white space; null text has none; a document shorter than a window
-keeps everything; rows with equal doc_id never remove from each other; a null doc_id is larger than every other; equal
+keeps everything; rows with equal doc_id never remove from each other (they are told
+apart by a 32-bit hash of their texts); a null doc_id is larger than every other; equal
 rows get equal results; windows are judged on the input; further columns of any name do no harm.
 """
 
@@ -33,6 +36,8 @@ from skyledger.sources.tables import stage
 
 WIDTH, M = 13, 3
 HEAVY = 4
+GROUPS = 16
+LEVEL = 9
 LARGEST = np.iinfo(np.int64).max
 
 
@@ -56,7 +61,7 @@ class SuperKmers:
         hashed = hasher(self.data, self.begins[:-1], self.begins[1:] - 1)
         n = len(hashed) - width + 1
         if n <= 0:
-            self.row = self.word = self.windows = np.zeros(0, np.int64)
+            self.row = self.word = self.windows = self.at = np.zeros(0, np.int64)
             self.minimiser = np.zeros(0, np.int64)
             return
         m = min(M, width)
@@ -96,7 +101,7 @@ def counted_minimisers(width: int):
                 values, n = values[n > 1], n[n > 1]
                 yield pa.record_batch({"minimiser": pa.array([*values.tolist(), None], pa.int64()), "n": pa.array([*n.tolist(), len(found.minimiser)], pa.int64())})
 
-    return count
+    return B.thrifty(count)
 
 
 def heavy_minimisers(keyed: DataFrame, width: int) -> np.ndarray:
@@ -109,49 +114,91 @@ def heavy_minimisers(keyed: DataFrame, width: int) -> np.ndarray:
     return np.sort(np.array([r.minimiser for r in heavy.select("minimiser").collect()], np.int64))
 
 
-def splitter(width: int, heavy: np.ndarray, want_heavy: bool):
-    """The Arrow function: documents to packed super-k-mers of light buckets, or to the windows of heavy ones."""
+def picked_strings(found: SuperKmers, heavy: np.ndarray, want_heavy: bool, width: int):
+    """Row, first word, bucket and packed string of the super-k-mers of light buckets, or of the windows of heavy ones."""
+    is_heavy = np.isin(found.minimiser, heavy)
+    pick = np.flatnonzero(is_heavy == want_heavy)
+    row, word, begin, windows, bucket = found.row[pick], found.word[pick], found.at[pick], found.windows[pick], found.minimiser[pick]
+    if want_heavy:
+        step = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+        row, word, begin, bucket = (np.repeat(x, windows) for x in (row, word, begin, bucket))
+        word, begin, windows = word + step, begin + step, np.ones(len(row), np.int64)
+    lo, hi = found.begins[begin], found.begins[begin + windows + width - 1]
+    return row, word, bucket, lo, hi
+
+
+def window_splitter(width: int, heavy: np.ndarray):
+    """The Arrow function: documents to the single windows of heavy buckets."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = B.WordHasher()
         for batch in batches:
             for rows in B.chunks(batch, "text"):
                 found = SuperKmers(rows, hasher, width)
-                if not len(found.row):
-                    continue
-                at = np.searchsorted(heavy, found.minimiser)
-                is_heavy = np.append(heavy, 0)[at] == found.minimiser if len(heavy) else np.zeros(len(found.row), bool)
-                is_heavy &= at < len(heavy)
-                pick = np.flatnonzero(is_heavy == want_heavy)
-                row, word, begin, windows = found.row[pick], found.word[pick], found.at[pick], found.windows[pick]
-                bucket = found.minimiser[pick]
-                if want_heavy:
-                    step = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-                    row, word, begin, bucket = (np.repeat(x, windows) for x in (row, word, begin, bucket))
-                    word, begin, windows = word + step, begin + step, np.ones(len(row), np.int64)
-                lo, hi = found.begins[begin], found.begins[begin + windows + width - 1]
+                row, word, _, lo, hi = picked_strings(found, heavy, True, width)
+                text = found.data.tobytes()
+                yield pa.record_batch({
+                    "doc_id": rows.column("doc_id").take(pa.array(row)), "tag": rows.column("tag").take(pa.array(row)), "word": pa.array(word.astype(np.int32)),
+                    "packed": pa.array([text[a:b] for a, b in zip(lo.tolist(), hi.tolist())], pa.binary()),
+                })
+
+    return B.thrifty(split)
+
+
+def planes(values: np.ndarray) -> bytes:
+    """32-bit values with all first bytes first, then all second bytes and so on, which compresses well."""
+    return values.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(raw: bytes, n: int, offset: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, offset).reshape(4, n).T).view(np.uint32).ravel().astype(np.int64)
+
+
+def group_splitter(width: int, heavy: np.ndarray, groups: int):
+    """The Arrow function: documents to one compressed row of packed super-k-mers for each group of light buckets."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, codec = B.WordHasher(), pa.Codec("zstd", compression_level=LEVEL)
+        for batch in batches:
+            for rows in B.chunks(batch, "text", size=2 * B.CHUNK):
+                found = SuperKmers(rows, hasher, width)
+                row, word, bucket, lo, hi = picked_strings(found, heavy, False, width)
+                group = (B.mix(bucket.view(np.uint64)) % np.uint64(groups)).astype(np.int64)
+                order = np.argsort(group, kind="stable")
+                row, lo, hi, group = row[order], lo[order], hi[order], group[order]
+                doc = pc.fill_null(rows.column("doc_id"), LARGEST).to_numpy()[row]
+                tag, word, length = rows.column("tag").to_numpy()[row], word[order].astype(np.uint32), (hi - lo).astype(np.uint32)
                 text = found.data.tobytes()
-                packed = pa.array([text[a:b] for a, b in zip(lo.tolist(), hi.tolist())], pa.binary())
+                strings = [text[a:b] for a, b in zip(lo.tolist(), hi.tolist())]
+                cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)] if len(group) else [0]
+                sizes, payloads = [], []
+                for a, b in zip(cuts, cuts[1:]):
+                    raw = b"".join([np.diff(doc[a:b], prepend=0).tobytes(), tag[a:b].tobytes(), planes(word[a:b]), planes(length[a:b]), *strings[a:b]])
+                    sizes.append(len(raw))
+                    payloads.append(codec.compress(raw, asbytes=True))
                 yield pa.record_batch({
-                    "bucket": pa.array(bucket), "doc_id": rows.column("doc_id").take(pa.array(row)),
-                    "tag": rows.column("tag").take(pa.array(row)), "word": pa.array(word.astype(np.int32)), "packed": packed,
+                    "group": pa.array(group[cuts[:-1]].astype(np.int32)), "n": pa.array(np.diff(cuts).astype(np.int32)),
+                    "size": pa.array(sizes, pa.int32()), "payload": pa.array(payloads, pa.binary()),
                 })
 
-    return split
+    return B.thrifty(split)
 
 
-def repeated_windows(rows: pa.Table, width: int) -> pa.RecordBatch:
-    """From whole buckets of super-k-mers: the runs of windows that a document with a smaller id has too."""
-    data, _ = B.text_bytes(pa.chunked_array(rows.column("packed").chunks).combine_chunks())
+def repeated_windows(rows: list[tuple[int, bytes]], width: int) -> pa.RecordBatch:
+    """From the unpacked rows of whole buckets: the runs of windows that a document with a smaller id has too."""
+    docs = np.concatenate([np.cumsum(np.frombuffer(raw, np.int64, n)) for n, raw in rows])
+    tags = np.concatenate([np.frombuffer(raw, np.int32, n, 8 * n) for n, raw in rows])
+    words = np.concatenate([from_planes(raw, n, 12 * n) for n, raw in rows])
+    lengths = np.concatenate([from_planes(raw, n, 16 * n) for n, raw in rows])
+    data = np.concatenate([np.frombuffer(raw, np.uint8, offset=20 * n) for n, raw in rows])
     stops = np.flatnonzero(data == 0x20) + 1
     pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(stops), [None, pa.py_buffer(np.append(0, stops).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
     number = pieces.dictionary_encode().indices.to_numpy(zero_copy_only=False)
-    lengths = pc.binary_length(rows.column("packed")).to_numpy().astype(np.int64)
-    first = np.append(0, np.searchsorted(stops, np.cumsum(lengths)) + 1)
+    first = np.append(0, np.searchsorted(stops, np.cumsum(lengths, dtype=np.int64)) + 1)
     row = np.repeat(np.arange(len(lengths)), np.diff(first))
     n = max(len(number) - width + 1, 0)
     at = np.flatnonzero(row[:n] == row[width - 1 :]) if n else np.zeros(0, np.int64)
-    doc = pc.fill_null(rows.column("doc_id"), LARGEST).to_numpy()[row[at]]
+    doc = docs[row[at]]
     hashed = B.window_hashes(B.mix(number.astype(np.uint64) + np.uint64(1)), width)[at]
     order = np.lexsort((doc, hashed))
     place = at[order]
@@ -175,40 +222,28 @@ def repeated_windows(rows: pa.Table, width: int) -> pa.RecordBatch:
     start = np.flatnonzero(begin)
     runs = np.diff(np.append(start, len(hit)))
     of = row[hit[start]]
-    picked = rows.select(["doc_id", "tag"]).take(pa.array(of)).combine_chunks()
-    word = rows.column("word").to_numpy()[of] + (hit[start] - first[of])
     return pa.record_batch({
-        "doc_id": picked.column("doc_id").combine_chunks(), "tag": picked.column("tag").combine_chunks(),
-        "word": pa.array(word.astype(np.int32)), "windows": pa.array(runs.astype(np.int32)),
+        "rank": pa.array(docs[of]), "tag": pa.array(tags[of]),
+        "word": pa.array((words[of] + hit[start] - first[of]).astype(np.int32)), "windows": pa.array(runs.astype(np.int32)),
     })
 
 
-def bucket_reader(width: int):
-    """The Arrow function over rows sorted by bucket: collects whole buckets of about a chunk and searches them."""
+def group_reader(width: int):
+    """The Arrow function over rows sorted by group: searches one group after the other, small ones together."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
+        held, size, last = [], 0, None
         for batch in batches:
-            while batch.num_rows:
-                bucket = batch.column("bucket").to_numpy()
-                if size >= 2 * B.CHUNK:  # ends with the bucket that is under way
-                    last = held[-1].column("bucket")[-1].as_py()
-                    n = int(np.searchsorted(bucket != last, True)) if bucket[-1] != last else len(bucket)
-                    held.append(batch.slice(0, n))
-                    batch = batch.slice(n)
-                    if batch.num_rows:
-                        yield repeated_windows(pa.Table.from_batches(held), width)
-                        held, size = [], 0
-                    continue
-                part = next(B.chunks(batch, "packed"))
-                held.append(part)
-                size += B.text_bytes(part.column("packed").cast(pa.binary()))[0].size
-                batch = batch.slice(part.num_rows)
+            for group, n, raw_size, payload in zip(*(batch.column(c).to_pylist() for c in ("group", "n", "size", "payload"))):
+                if group != last and size > B.CHUNK:
+                    yield repeated_windows(held, width)
+                    held, size = [], 0
+                held.append((n, pa.decompress(payload, raw_size, codec="zstd", asbytes=True)))
+                size, last = size + raw_size, group
         if held:
-            yield repeated_windows(pa.Table.from_batches(held), width)
+            yield repeated_windows(held, width)
 
-    return read
+    return B.thrifty(read)
 
 
 def remover(width: int, with_text: bool):
@@ -237,25 +272,25 @@ def remover(width: int, with_text: bool):
                 }
                 yield pa.record_batch(out | ({"kept_text": pa.array(texts, pa.binary()).cast(pa.string())} if with_text else {}))
 
-    return remove
+    return B.thrifty(remove)
 
 
 def substring_dedup(docs: DataFrame, width: int = WIDTH, with_text: bool = False) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256, and with `with_text` the kept words joined by blanks."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keyed = keyed.withColumn("tag", F.xxhash64("doc_id", "text"))  # tells rows with one id apart
+    keyed = keyed.withColumn("tag", F.hash("text"))  # tells the rows of one id apart
     heavy = heavy_minimisers(keyed, width)
-    packed = "bucket long, doc_id long, tag long, word int, packed binary"
-    runs = "doc_id long, tag long, word int, windows int"
-    light = keyed.mapInArrow(splitter(width, heavy, False), packed)
-    marks = light.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(bucket_reader(width), runs)
+    groups = GROUPS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = keyed.mapInArrow(group_splitter(width, heavy, groups), "group int, n int, size int, payload binary")
+    marks = packed.repartition("group").sortWithinPartitions("group").mapInArrow(group_reader(width), "rank long, tag int, word int, windows int")
     if len(heavy):
-        windows = stage(keyed.mapInArrow(splitter(width, heavy, True), packed).withColumn("rank", F.coalesce("doc_id", F.lit(LARGEST))), "windows")
+        windows = keyed.mapInArrow(window_splitter(width, heavy), "doc_id long, tag int, word int, packed binary")
+        windows = stage(windows.withColumn("rank", F.coalesce("doc_id", F.lit(LARGEST))), "windows")
         least = windows.groupBy("packed").agg(F.min("rank").alias("least"), F.max("rank").alias("most")).where("least < most")
         late = windows.join(least.select("packed", "least"), "packed").where("rank > least")
-        marks = marks.union(late.select("doc_id", "tag", "word", F.lit(1).alias("windows")))
-    found = marks.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("word", "windows")).alias("runs")).select(F.col("doc_id").alias("_doc"), F.col("tag").alias("_tag"), "runs")
-    same = (F.col("tag") == F.col("_tag")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
+        marks = marks.union(late.select("rank", "tag", "word", F.lit(1).alias("windows")))
+    found = marks.groupBy("rank", "tag").agg(F.collect_set(F.struct("word", "windows")).alias("runs")).select("rank", F.col("tag").alias("_tag"), "runs")
+    same = (F.col("tag") == F.col("_tag")) & (F.coalesce("doc_id", F.lit(LARGEST)) == F.col("rank"))
     marked = keyed.join(found, same, "left").select("doc_id", "text", F.coalesce("runs", F.array().cast("array<struct<word:int,windows:int>>")).alias("runs"))
     columns = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     return marked.mapInArrow(remover(width, with_text), columns)
