@@ -3,7 +3,7 @@
 PIVOTS vectors, a bounded sample picked by a hash of the id, are the only thing the index is fitted on. Every vector is then
 represented by its PREFIX nearest pivots in order. Vectors are dealt into blocks of about BLOCK, and a block posts them in
 an inverted file per pivot: which vectors have the pivot, and at what place. Queries are dealt into blocks too, and each
-pair of a data block and a query block is one group. In it a query opens the files of its own pivots, sums up the footrule
+pair of a data block and a query block is one group, which returns one row for each query. In it a query opens the files of its own pivots, sums up the footrule
 distance of the two orders (a missing pivot stands at place PREFIX), takes the SHARE of the block that is closest, and
 ranks those by the inner product in double precision. The best of each block meet in a window with a rank limit, which is
 pruned before the shuffle.
@@ -27,7 +27,7 @@ from skyledger.sources.tables import stage
 
 PIVOTS, PREFIX = 256, 64
 SHARE = 0.25
-BLOCK = 1024
+BLOCK, QUERY_BLOCK = 4096, 1024
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def searcher(pivots, prefix: int, share: float, k: int):
         return np.argsort(-(x @ pivots.value.T), axis=1, kind="stable")[:, :prefix]
 
     def search(cell: tuple, data: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
+        out = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_ids": pd.Series(dtype="object"), "scores": pd.Series(dtype="object")})
         if data.empty or asked.empty:
             return out
         data = data.sort_values("id", ignore_index=True)
@@ -82,25 +82,24 @@ def searcher(pivots, prefix: int, share: float, k: int):
             near = near[ids[near] != query]
             score = (x[near] * own).sum(1)
             best = np.lexsort((ids[near], -score))[:k]
-            parts.append((np.full(len(best), query), ids[near][best], score[best]))
-        if not parts:
-            return out
-        return pd.DataFrame(dict(zip(out.columns, map(np.concatenate, zip(*parts)))))
+            parts.append((query, ids[near][best], score[best]))
+        return pd.DataFrame(parts, columns=out.columns)
 
     return search
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 20, pivots: int = PIVOTS, prefix: int = PREFIX, share: float = SHARE, block: int = BLOCK) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 20, pivots: int = PIVOTS, prefix: int = PREFIX, share: float = SHARE, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """Each query's k nearest: query_id, rank, vec_id, score. `is_query` is a condition on `id`."""
     data = usable(vectors)
     spark = data.sparkSession
     matrix = spark.sparkContext.broadcast(pivot_matrix(data, pivots))  # PIVOTS vectors at most
     queries = data.where(is_query)
-    n_data, n_queries = (max(1, -(-f.count() // block)) for f in (data, queries))
+    n_data, n_queries = (max(1, -(-f.count() // size)) for f, size in ((data, block), (queries, query_block)))
     number = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = data.select("id", "vector", number(n_data, 1).alias("d"), every(n_queries).alias("q"))
     right = queries.select("id", "vector", number(n_queries, 2).alias("q"), every(n_data).alias("d"))
-    found = left.groupBy("d", "q").cogroup(right.groupBy("d", "q")).applyInPandas(searcher(matrix, prefix, share, k), "query_id long, vec_id long, score double")
+    found = left.groupBy("d", "q").cogroup(right.groupBy("d", "q")).applyInPandas(searcher(matrix, prefix, share, k), "query_id long, vec_ids array<long>, scores array<double>")
+    found = found.select("query_id", F.explode(F.arrays_zip("vec_ids", "scores")).alias("f")).select("query_id", F.col("f.vec_ids").alias("vec_id"), F.col("f.scores").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
