@@ -4,7 +4,7 @@
    (cut and lower-cased where that changes no token) are encoded once and a document's ids are put together from them. A document longer than a sequence is cut into
    pieces; only lengths, places and checksums are kept.
 2. Pieces are dealt by hash into shards of about SHARD. A task packs a shard best-fit by falling length and then improves it:
-   the least filled bin gives documents to fuller ones by a move, a one-for-one or a two-for-one exchange. Every exchange
+   one underfull bin after the other gives documents to the others by a move, a one-for-one or a two-for-one exchange. Every exchange
    raises the sum of squared fills, and bins become empty.
 3. What is left half empty in each shard is dealt again into fewer shards until one remains, so shards cost about one open
    bin in all instead of one each.
@@ -36,9 +36,6 @@ CAPACITY = 4096
 END = 1
 SHARD = 4096
 OPEN_BELOW = 0.97
-#: Bins that one bin is held against in each step of the search, those with the largest gaps first.
-PARTNERS = 400
-
 
 SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 APOSTROPHE = 0x27
@@ -149,32 +146,60 @@ def exchange(giver: list[int], taker: list[int], gap: int, lengths: list[int]) -
 
 
 def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
-    """Local search: empty the least filled bin into fuller ones, again and again, until it cannot shrink any more."""
-    fills = [sum(lengths[i] for i in b) for b in bins]
-    alive = set(range(len(bins)))
-    while len(alive) > 1:
-        least = min(alive, key=lambda k: (fills[k], k))
-        slack = sum(capacity - fills[k] for k in alive if k != least)
-        if slack < fills[least]:
-            break  # the others cannot take it whatever is exchanged
+    """Local search: underfull bins, the least filled first, are emptied into the others. A bin that cannot be emptied stays
+    as far as it came and the next one is tried, until all were tried since the last success or the lower bound is reached."""
+    full = [b for b in bins if sum(lengths[i] for i in b) >= capacity]
+    bins = [list(b) for b in bins if sum(lengths[i] for i in b) < capacity]
+    fills = np.array([sum(lengths[i] for i in b) for b in bins], np.int64)
+    items = [i for b in bins for i in b]
+    at = {i: n for n, i in enumerate(items)}
+    # What can be given back: items, and for moves an empty place of length 0 in each bin.
+    places = np.array([lengths[i] for i in items] + [0] * len(bins), np.int64)
+    owners = np.append(np.repeat(np.arange(len(bins)), [len(b) for b in bins]), np.arange(len(bins)))
+    alive = np.ones(len(bins), bool)
+
+    def takers(giver: int) -> list[int]:
+        """The bins an exchange with which raises the sum of squares, those with the largest gaps first."""
+        own = np.sort(np.array([lengths[i] for i in bins[giver]], np.int64))
+        first, second = np.triu_indices(len(own), 1)
+        parts = np.append(0, np.unique(np.append(own, own[first] + own[second])))
+        gaps = np.where(alive, capacity - fills, 0)
+        gaps[giver] = 0
+        largest = parts[np.searchsorted(parts, places + gaps[owners], "right") - 1]  # that fits instead of a place
+        found = owners[largest - places > np.maximum(fills[giver] - fills[owners], 0)]
+        found = np.unique(found)
+        return found[np.argsort(fills[found], kind="stable")].tolist()
+
+    def empty(giver: int) -> bool:
         moved = True
-        while moved and bins[least]:
+        while moved and bins[giver]:
             moved = False
-            partners = sorted((k for k in alive if k != least and fills[k] < capacity), key=lambda k: fills[k])[:PARTNERS]
-            for k in partners:
-                gain, given, back = exchange(bins[least], bins[k], capacity - fills[k], lengths)
-                if gain:
+            for k in takers(giver):
+                gain, given, back = exchange(bins[giver], bins[k], capacity - int(fills[k]), lengths)
+                if gain > max(fills[giver] - fills[k], 0):
                     bins[k] = [i for i in bins[k] if i not in back] + given
-                    bins[least] = [i for i in bins[least] if i not in given] + back
+                    bins[giver] = [i for i in bins[giver] if i not in given] + back
+                    owners[[at[i] for i in given]] = k
+                    owners[[at[i] for i in back]] = giver
                     fills[k] += gain
-                    fills[least] -= gain
+                    fills[giver] -= gain
                     moved = True
-                    if not bins[least]:
+                    if not bins[giver]:
                         break
-        if bins[least]:
-            break  # it cannot shrink any more
-        alive.discard(least)
-    return [bins[k] for k in sorted(alive)]
+        alive[giver] = bool(bins[giver])
+        return not bins[giver]
+
+    tried: set[int] = set()
+    # Below a capacity of gaps in all, the others cannot take any bin whatever is exchanged.
+    while (capacity - fills[alive]).sum() >= capacity:
+        left = [k for k in np.flatnonzero(alive & (fills < capacity)).tolist() if k not in tried]
+        if not left:
+            break
+        giver = min(left, key=lambda k: (fills[k], k))
+        tried.add(giver)
+        if empty(giver):
+            tried.clear()
+    return full + [bins[k] for k in np.flatnonzero(alive)]
 
 
 def shard_packer(capacity: int, level: int):

@@ -87,3 +87,13 @@ def test_two_for_one_and_moves():
     assert packing.exchange([3], [0], 40, lengths) == (10, [3], [])
     assert packing.exchange([1, 2], [3], 35, lengths)[0] == 35  # 30 and 15 for 10
     assert packing.exchange([0], [1], 5, lengths) == (0, [], [])
+
+
+def test_bins_behind_a_stuck_one_are_emptied_too():
+    rng = random.Random(1)
+    for low, high, most in ((700, 1500, 0.98), (900, 1900, 0.97)):
+        lengths = [rng.randrange(low, high) for _ in range(1024)]
+        before = packing.best_fit(lengths, 4096)
+        after = packing.improve([list(b) for b in before], lengths, 4096)
+        assert sorted(i for b in after for i in b) == list(range(1024))
+        assert all(sum(lengths[i] for i in b) <= 4096 for b in after) and len(after) <= most * len(before)
