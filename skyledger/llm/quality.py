@@ -2,7 +2,9 @@
 
 Base counts are array expressions of one row. Four ratios follow from them; a KLL sketch per (language, source) holds the
 distribution of each, sketches merge into one per language and one over everything, and the thresholds are fences read
-from the sketches: quartiles widened by FENCE times their distance. A group with fewer than LEAST documents takes the
+from the sketches: quartiles widened by FENCE times their distance. Shares of repeated lines and words are zero in most
+documents, so theirs come from a sketch of the non-zero values: median and 90 % quantile, if at least RARE of the documents
+have any, and otherwise no repetition is usual in the group. A group with fewer than LEAST documents takes the
 sketch of its language, and a small language that of the whole table. The fences, a few per group, are joined back, and a
 document outside any of them is not kept. Sketches are partial aggregates, so a source with a third of all rows is no
 burden; documents that fail the base rules do not shape the fences.
@@ -23,8 +25,11 @@ SYMBOLS = "[#*$%&|<>]"
 K = 400
 FENCE = 4.0
 LEAST = 200
-#: Ratios with the smallest distance of quartiles they are widened by, and whether low values count as well.
-RATIOS = {"symbol_ratio": (0.01, False), "dup_line_ratio": (0.1, False), "repeat_ratio": (0.1, False), "word_length": (0.25, True)}
+RARE = 0.01
+#: Ratios with the smallest distance of quantiles they are widened by, and whether low values count as well.
+RATIOS = {"symbol_ratio": (0.01, False), "dup_line_ratio": (1e-9, False), "repeat_ratio": (1e-9, False), "word_length": (0.25, True)}
+#: Ratios whose fences come from their non-zero values; the distance is only against numerical ties.
+NON_ZERO = ("dup_line_ratio", "repeat_ratio")
 
 
 def repeated_words(tokens: Column) -> Column:
@@ -78,18 +83,27 @@ def with_ratios(counts: DataFrame) -> DataFrame:
 
 def fences(rated: DataFrame, k: int = K, least: int = LEAST, fence: float = FENCE) -> DataFrame:
     """(lang, source, <ratio>_low, <ratio>_high) from mergeable sketches, one row for each group of the table."""
-    shaping = [F.expr(f"kll_sketch_agg_double(CASE WHEN NOT base_failed THEN {r} END, {k})").alias(r) for r in RATIOS]
-    merging = [F.expr(f"kll_merge_agg_double({r}, {k})").alias(r) for r in RATIOS]
+    shapes = {r: f"NOT base_failed AND {r} > 0" if r in NON_ZERO else "NOT base_failed" for r in RATIOS}
+    shaping = [F.expr(f"kll_sketch_agg_double(CASE WHEN {shapes[r]} THEN {r} END, {k})").alias(r) for r in RATIOS]
+    having = [F.count_if(F.expr(shapes[r])).alias(f"n_{r}") for r in RATIOS]
+    merging = [F.expr(f"kll_merge_agg_double({r}, {k})").alias(r) for r in RATIOS] + [F.sum(f"n_{r}").alias(f"n_{r}") for r in RATIOS]
     n = F.sum("n").alias("n")
-    groups = stage(rated.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("n"), *shaping), "sketches")
+    groups = stage(rated.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("n"), *shaping, *having), "sketches")
     languages = groups.groupBy("lang").agg(n, *merging)
-    quartiles = lambda sketch: F.call_function("kll_sketch_get_quantile_double", sketch, F.array(F.lit(0.25), F.lit(0.75)))
-    overall = groups.agg(n, *merging).select(*[F.when(F.col("n") > 0, quartiles(F.col(r))).alias(r) for r in RATIOS]).first()
+
+    def quantiles(ratio: str, prefix: str = "") -> Column:
+        """The two quantiles of a group that its fence is made of."""
+        low, high = (0.5, 0.9) if ratio in NON_ZERO else (0.25, 0.75)
+        read = F.call_function("kll_sketch_get_quantile_double", F.col(prefix + ratio), F.array(F.lit(low), F.lit(high)))
+        usual = F.col(f"{prefix}n_{ratio}") >= RARE * F.col(f"{prefix}n")
+        return F.when(usual, read).otherwise(F.array(F.lit(0.0), F.lit(0.0)))
+
+    overall = groups.agg(n, *merging).select(*[F.when(F.col("n") > 0, quantiles(r)).alias(r) for r in RATIOS]).first()
     placed = groups.join(languages.select(*[F.col(c).alias(f"l_{c}") for c in languages.columns]), F.col("lang").eqNullSafe(F.col("l_lang")))
     out = [F.col("lang"), F.col("source")]
     for ratio, (smallest, both) in RATIOS.items():
         every = F.lit(None).cast("array<double>") if overall[ratio] is None else F.array(*[F.lit(float(q)) for q in overall[ratio]])
-        own = F.when(F.col("n") >= least, quartiles(F.col(ratio))).when(F.col("l_n") >= least, quartiles(F.col(f"l_{ratio}"))).otherwise(every)
+        own = F.when(F.col("n") >= least, quantiles(ratio)).when(F.col("l_n") >= least, quantiles(ratio, "l_")).otherwise(every)
         width = fence * F.greatest(own[1] - own[0], F.lit(smallest))
         out += [(own[0] - width if both else F.lit(float("-inf"))).alias(f"{ratio}_low"), (own[1] + width).alias(f"{ratio}_high")]
     return placed.select(*out)

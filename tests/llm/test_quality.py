@@ -56,3 +56,12 @@ def test_groups_have_their_own_fences(docs_of):
     rows += [(999, plain(1, "abcdefgh"), "en", "short"), (998, plain(1, "ab"), "en", "long")]
     kept = {r.doc_id: r.kept for r in quality.quality(docs_of(rows), least=20).collect()}
     assert not kept.pop(999) and not kept.pop(998) and all(kept.values())
+
+
+def test_repeated_lines_go_where_no_other_document_has_any(docs_of):
+    line = lambda i, j: " ".join(f"w{i}x{j}y{n}" for n in range(20))
+    clean = lambda i: "\n".join(line(i, j) for j in range(6))
+    rows = [(i, clean(i), "en", "clean") for i in range(150)] + [(999, "\n".join([*[line(999, j) for j in range(4)], line(999, 0), line(999, 1)]), "en", "clean")]
+    rows += [(200 + i, clean(200 + i) + ("\n" + line(200 + i, 0)) * (i % 4 == 0), "en", "mixed") for i in range(150)]
+    kept = {r.doc_id: r.kept for r in quality.quality(docs_of(rows), least=20).collect()}
+    assert not kept.pop(999) and all(kept.values())
