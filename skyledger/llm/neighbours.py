@@ -1,6 +1,8 @@
 """Approximate nearest neighbours with a permutation index (operator 6).
 
-PIVOTS vectors, a bounded sample picked by a hash of the id, are the only thing the index is fitted on. Every vector is then
+PIVOTS vectors, a bounded sample picked by a hash of the id, are the only thing the index is fitted on. As the inner product
+grows with a vector's length, indexed vectors get one more component that brings all to the length of the longest, and
+queries a zero there: inner products stay and now order as angles do. Every vector is then
 represented by its PREFIX nearest pivots in order. Vectors are dealt into blocks of about BLOCK, and a block posts them in
 an inverted file per pivot: which vectors have the pivot, and at what place. Queries are dealt into blocks too, and each
 pair of a data block and a query block is one group, which returns one row for each query. In it a query opens the files of its own pivots, sums up the footrule
@@ -46,7 +48,18 @@ def pivot_matrix(vectors: DataFrame, pivots: int) -> np.ndarray:
     return np.array([r["vector"] for r in rows], np.float64)
 
 
-def searcher(pivots, prefix: int, share: float, k: int):
+def longest(vectors: DataFrame) -> float:
+    """The largest squared length, 0 for an empty table."""
+    square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
+    return vectors.agg(F.max(square).alias("most")).first()["most"] or 0.0
+
+
+def extended(x: np.ndarray, most: float) -> np.ndarray:
+    """The vectors with the component that brings their squared lengths to `most`."""
+    return np.column_stack([x, np.sqrt(np.maximum(most - (x * x).sum(1), 0))])
+
+
+def searcher(pivots, most: float, prefix: int, share: float, k: int):
     """The cogrouped function: a block of vectors and a block of queries to each query's best of the block."""
 
     def orders(x: np.ndarray) -> np.ndarray:
@@ -62,7 +75,7 @@ def searcher(pivots, prefix: int, share: float, k: int):
         data = data[pd.Series(same.ravel()).groupby(same.ravel()).cumcount().to_numpy() <= k]  # in order of id
         x, ids = x[data.index], data["id"].to_numpy()
         n, m, depth = len(x), len(pivots.value), min(prefix, len(pivots.value))
-        order = orders(x)
+        order = orders(extended(x, most))
         # The inverted files: vectors by pivot, and what the footrule sum gains on the pivot being shared, by place.
         flat = order.ravel()
         by_pivot = np.argsort(flat, kind="stable")
@@ -71,7 +84,7 @@ def searcher(pivots, prefix: int, share: float, k: int):
         wanted = max(4 * k, int(np.ceil(share * n)))
         q = np.stack(asked["vector"].to_list()).astype(np.float64)
         parts = []
-        for query, own, own_order in zip(asked["id"].to_numpy(), q, orders(q)):
+        for query, own, own_order in zip(asked["id"].to_numpy(), q, orders(np.column_stack([q, np.zeros(len(q))]))):
             files = [slice(ends[p], ends[p + 1]) for p in own_order]
             here = np.concatenate([vector[f] for f in files])
             there = np.concatenate([place[f] for f in files])
@@ -92,14 +105,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, pivots: int = PIV
     """Each query's k nearest: query_id, rank, vec_id, score. `is_query` is a condition on `id`."""
     data = usable(vectors)
     spark = data.sparkSession
-    matrix = spark.sparkContext.broadcast(pivot_matrix(data, pivots))  # PIVOTS vectors at most
+    most, matrix = longest(data), pivot_matrix(data, pivots)
+    matrix = spark.sparkContext.broadcast(extended(matrix, most) if len(matrix) else matrix)  # PIVOTS vectors at most
     queries = data.where(is_query)
     n_data, n_queries = (max(1, -(-f.count() // size)) for f, size in ((data, block), (queries, query_block)))
     number = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = data.select("id", "vector", number(n_data, 1).alias("d"), every(n_queries).alias("q"))
     right = queries.select("id", "vector", number(n_queries, 2).alias("q"), every(n_data).alias("d"))
-    found = left.groupBy("d", "q").cogroup(right.groupBy("d", "q")).applyInPandas(searcher(matrix, prefix, share, k), "query_id long, vec_ids array<long>, scores array<double>")
+    found = left.groupBy("d", "q").cogroup(right.groupBy("d", "q")).applyInPandas(searcher(matrix, most, prefix, share, k), "query_id long, vec_ids array<long>, scores array<double>")
     found = found.select("query_id", F.explode(F.arrays_zip("vec_ids", "scores")).alias("f")).select("query_id", F.col("f.vec_ids").alias("vec_id"), F.col("f.scores").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -67,3 +67,12 @@ def test_one_vector_in_a_third_of_all_rows(spark):
     got, want = by_query(neighbours.nearest(frame, F.col("id") % 100 == 0, block=200)), brute(rows, 20, 100)
     assert recall(got, want) >= 0.95
     assert [i for i, _ in got[300]] == [i for i, _ in want[300]] == [i for i in range(0, 63, 3) if i != 300][:20]
+
+
+def test_recall_with_unequal_lengths(spark):
+    rng = np.random.default_rng(2)
+    unit = rng.normal(size=(4000, 64))
+    unit *= (np.exp(rng.normal(size=4000)) / np.linalg.norm(unit, axis=1))[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(unit)]
+    frame = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
+    assert recall(by_query(neighbours.nearest(frame, F.col("id") % 40 == 0)), brute(rows, 20, 40)) >= 0.95
