@@ -187,8 +187,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return held.mapInArrow(confirmer(width, percent), "a binary, b binary").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, threshold_percent: int = 80) -> DataFrame:
-    """Per document: doc_id, row_key (hash of id and text), n_shingles, component_id, kept."""
+def labelled_rows(docs: DataFrame, width: int = 5, threshold_percent: int = 80) -> DataFrame:
+    """Per row: doc_id, row_key (hash of id and text), n_shingles and the label of its component, null without words."""
     limit = sketch_limit(threshold_percent / 100)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row_key", row_key(F.col("doc_id"), F.col("text")))
     signed = stage(keyed.mapInArrow(signer(width), "doc_id long, row_key long, n_shingles long, class binary, bands array<long>, sketch array<long>"), "signed")
@@ -232,19 +232,33 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold_percent: int = 80
     second = confirmed(rest.distinct(), texts, width, threshold_percent)
     labels = components(first.union(second))
 
-    # The smallest document of each component, brought back to every row.
     narrow = signed.select("doc_id", "row_key", "n_shingles", "class")
     known = labels.select(F.col("node").alias("class"), "label")
-    placed = narrow.where("class IS NOT NULL").join(known, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    return narrow.join(known, "class", "left").select("doc_id", "row_key", "n_shingles", F.coalesce("label", "class").alias("label"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, threshold_percent: int = 80) -> DataFrame:
+    """Per document: doc_id, row_key (hash of id and text), n_shingles, component_id, kept."""
+    rows = labelled_rows(docs, width, threshold_percent)
+    # The smallest document of each component, brought back to every row.
+    placed = rows.where("label IS NOT NULL")
     least = placed.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     grouped = placed.join(least, "label").select("doc_id", "row_key", "n_shingles", "component_id")
-    alone = narrow.where("class IS NULL").select("doc_id", "row_key", "n_shingles", F.col("doc_id").alias("component_id"))
+    alone = rows.where("label IS NULL").select("doc_id", "row_key", "n_shingles", F.col("doc_id").alias("component_id"))
     return grouped.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The input rows, all columns, of one document for each component; documents without words stay."""
-    key = fresh(docs, "_row_key")
-    kept = near_duplicates(docs, **options).where("kept").select(F.col("row_key").alias(key)).distinct()
+    """The input rows, all columns, one for each component: the smallest doc_id (null last), then the smallest hash of id
+    and text, of the further columns. Documents without words stay."""
+    key, wordless, number, rest, row = (fresh(docs, n) for n in ("_row_key", "_wordless", "_number", "_rest", "_row"))
+    rows = labelled_rows(docs, **options)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    first = rows.where("label IS NOT NULL").groupBy("label").agg(F.min(order).alias("one")).select(F.col("one.row_key").alias(key), F.lit(False).alias(wordless))
+    kept = first.union(rows.where("label IS NULL").select("row_key", F.lit(True)).distinct())
+    further = F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]))
     keyed = docs.withColumn(key, row_key(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    return keyed.join(kept, key).drop(key)
+    held = keyed.join(kept, key).withColumns({number: F.when(F.col(wordless), F.monotonically_increasing_id()), rest: F.xxhash64(further)})
+    # Rows with one id and one text still share a key; those without words stay apart by their number.
+    single = held.groupBy(key, number).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), rest).alias(row))
+    return single.select(f"{row}.*")

@@ -97,3 +97,16 @@ def test_components_of_a_long_chain(spark):
 
 def test_sketch_limit_grows_with_distance():
     assert 0 < near_dedup.sketch_limit(0.9) < near_dedup.sketch_limit(0.8) < near_dedup.SKETCH_BITS // 2
+
+
+def test_stage_leaves_one_row_for_each_component(docs_of):
+    words = lambda n, k=40: " ".join(f"w{n}x{i}" for i in range(k))
+    rows = [(1, words(1)), (1, words(1)), (2, words(1)), (3, words(2)), (3, words(2) + " more"), (None, words(3)), (None, words(3)), (None, words(3) + " more"),
+            (None, words(4)), (5, words(4)), (6, words(5)), (None, words(6)), (7, ""), (7, ""), (None, None), (None, None)]
+    docs = docs_of(rows)
+    kept = near_dedup.without_near_duplicates(docs, width=5, threshold_percent=80)
+    assert kept.schema.names == docs.schema.names
+    out = [(r.doc_id, r.text) for r in kept.collect()]
+    worded = [(i, t.replace(" more", "")) for i, t in out if t]
+    assert sorted(worded, key=str) == sorted([(1, words(1)), (3, words(2)), (None, words(3)), (5, words(4)), (6, words(5)), (None, words(6))], key=str)
+    assert sorted((i for i, t in out if not t), key=str) == [7, 7, None, None]
