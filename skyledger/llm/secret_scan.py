@@ -6,7 +6,7 @@ text before and after it. Features are its length, character transitions and sha
 that was trained on labelled findings then removes false positives. Its trees become nested conditions over the feature
 columns, so a document is scored within its own row: no candidate is shuffled and no text is joined back.
 
-The forest is trained on a bounded number of labelled findings, TRAINING of each kind, picked by a hash. Where no labelled
+The forest is trained on a bounded number of different labelled findings, TRAINING of each kind, picked by a hash. Where no labelled
 table is given, findings label themselves only where it is plain: assigned, quoted and named as a credential and a mixture
 of letters and digits (secret), or nothing but letters or nothing but digits (none). Each is learned once more without its
 neighbouring words, so the forest knows secrets by their characters as well.
@@ -94,11 +94,12 @@ def plain_label(of: Column) -> Column:
 
 
 def labelled_findings(docs: DataFrame, known: list[str], training: int = TRAINING) -> DataFrame:
-    """(label, features): at most `training` plain findings of each kind, each also without its neighbouring words."""
+    """(label, features): at most `training` different plain findings of each kind, each also without its neighbouring words."""
     name = fresh(docs, "_scan")
     # explode_outer: explode would add a filter on the size of the array and compute it twice.
     rows = scanned(docs.select("text"), known, name).select(F.explode_outer(F.col(f"{name}.found")).alias("c"))
     rows = rows.select(plain_label(F.col("c.of")).alias("label"), F.xxhash64("c").alias("h"), "c.of.*").where("label IS NOT NULL")
+    rows = rows.distinct()  # equal findings are one example, however often they are repeated
     place = F.row_number().over(Window.partitionBy("label").orderBy("h"))  # the limit is applied before the shuffle
     bare = lambda frame: frame.withColumns({n: F.lit(0.0) for n in NEIGHBOURS})
     picked = stage(rows.withColumn("place", place).where(F.col("place") <= training).drop("place"), "findings")

@@ -67,3 +67,12 @@ def test_defined_cases(docs_of):
     texts = {r.doc_id: (r.text, r.n_chars) for r in clean.collect()}
     assert texts[1] == (None, None) and texts[3] == ("short", 5) and texts[5][0] == f"é汉\U0001f642 token: '{S.MASK}' é" and texts[5][1] == len(texts[5][0])
     assert S.redact(docs.where("doc_id > 99")).collect() == []
+
+
+def test_a_repeated_finding_is_one_example(docs_of):
+    rows = corpus(random.Random(6)) + [(1000 + i, "the same internationalisation " * 2) for i in range(2500)]
+    found = S.labelled_findings(docs_of(rows), [], training=50).where("label = 0").collect()
+    assert len(found) == 100  # with and without neighbouring words
+    rows = [(i, "same internationalisation word") for i in range(5000)] + corpus(random.Random(7))
+    plain = S.labelled_findings(docs_of(rows), []).where("label = 0").count()
+    assert plain == 2 * 241  # 120 words, 120 numbers and the repeated word
