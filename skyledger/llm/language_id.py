@@ -172,8 +172,9 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def tagger(names: list[str], weights, flag: str):
-    """The Arrow function over whole rows: the flag column tells whether a language was found, so no join brings it back."""
-    score = scorer(names, weights)
+    """The Arrow function over whole rows: the flag column tells whether a language was found, so no join brings it back.
+    Where no language was learned, having a letter decides alone."""
+    score = scorer(names or [""], weights)
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -61,3 +61,8 @@ def test_presence_against_brute_force():
                 value = (int.from_bytes(data[i : i + n], "big") + (n << 32)) * L.B.BASE & (2**64 - 1)
                 want.add(value >> 50)
         assert set(np.flatnonzero(row)) == want
+
+
+def test_without_labels_the_stage_keeps_every_text(docs_of):
+    kept = L.with_language_only(docs_of([(1, "some words"), (2, "more"), (3, "12 !"), (4, None)])).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 2]
