@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
-TESTDATA = "/root/testdata"
+from samples import TESTDATA  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -69,8 +69,3 @@ def flight(raw_rows):
     from skyledger.operators.cleaning import clean_flights
 
     return lambda *changes: clean_flights(raw_rows(*changes))
-
-
-LATE = {"ARR_DEL15": "1.00", "ARR_DELAY": "20.00", "ARR_DELAY_NEW": "20.00"}
-CANCELLED = {"CANCELLED": "1.00", "CANCELLATION_CODE": "A", "DEP_TIME": None, "DEP_DELAY": None, "DEP_DEL15": None,
-             "ARR_TIME": None, "ARR_DELAY": None, "ARR_DELAY_NEW": None, "ARR_DEL15": None}

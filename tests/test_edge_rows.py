@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import CANCELLED, LATE
+from samples import CANCELLED, LATE
 from skyledger import contract as C
 from skyledger.functions.measures import count_violations, is_finite, same_number
 from skyledger.functions.text import is_missing, to_int

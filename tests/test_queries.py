@@ -4,7 +4,7 @@ import pytest
 
 import harness
 from __spark_entry__ import entry, oracle_sql, queries
-from conftest import TESTDATA
+from samples import TESTDATA
 
 SF = f"{TESTDATA}/sf0.01"
 
