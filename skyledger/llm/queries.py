@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat, language_id, mixing, near_dedup, neighbours, packing, quality, secret_scan, substring_dedup, token_counts
+from skyledger.llm import archives, centroids, chat, language_id, merkle, mixing, near_dedup, neighbours, packing, quality, secret_scan, substring_dedup, token_counts
+from skyledger.sources import tables
 
 ORACLES: dict[str, str] = {}
 
@@ -72,8 +73,33 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages to ARC files, those to WARC files, and what is read back from them."""
+    arc, warc = tables.scratch_path(spark, "arc"), tables.scratch_path(spark, "warc")
+    archives.write_arc(table(spark, sf_dir, "pages"), arc)
+    archives.convert(spark, arc, warc, prefer=archives.page_id(F.col("head")))
+    tables.discard(spark, arc)
+    found = archives.resolved(archives.read_warc(spark, warc, payloads=False))
+    tables.discard(spark, warc)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.transform("centroid", lambda x: x.cast("string")), ","), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest, held against documents of which some lost their line breaks."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    received = F.when(tampered, merkle.leaf(text=F.replace("text", F.lit("\n"), F.lit("")))).otherwise(merkle.leaf())
+    checked = merkle.verified(merkle.manifest(table(spark, sf_dir, "documents"), keep={"received": received}), F.col("received"))
+    return checked.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op3_secret_scan, op4_packing, op5_near_dedup, op6_neighbours, op7_quality, op8_chat, op9_language_id, op10_mixing)
+    f.__name__: f for f in (op1_substring_dedup, op2_token_counts, op3_secret_scan, op4_packing, op5_near_dedup, op6_neighbours, op7_quality, op8_chat, op9_language_id, op10_mixing, op11_warc, op12_centroids, op13_merkle)
 }
 
 # Sizes, ranks, capped shares (a source is capped if its cap per weight is at most the level that the sources before it
@@ -124,3 +150,93 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
   CAST(sum(16 + length(role) + length(text) + len(regexp_extract_all(text, '[<\[]\\*(\|\w+\|>|/?s>|/?INST\])'))) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+
+def centroid_rounds(k: int, rounds: int) -> str:
+    """CTEs c0, c1, ...: the centroids before the first and after each round, as (cluster, dim, c)."""
+    steps = [f"c0 AS (SELECT place AS cluster, dim, x AS c FROM (SELECT *, dense_rank() OVER (ORDER BY h, v) - 1 AS place FROM cells) WHERE place < {k})"]
+    for i in range(rounds):
+        steps.append(f"d{i} AS (SELECT v, cluster, sum((x - c) * (x - c)) AS distance FROM cells JOIN c{i} USING (dim) GROUP BY v, cluster)")
+        steps.append(f"n{i} AS (SELECT v, arg_min(cluster, (distance, cluster)) AS cluster FROM d{i} GROUP BY v)")
+        steps.append(f"m{i} AS (SELECT cluster, dim, CAST(sum(x) AS HUGEINT) AS total, count(*) AS n FROM n{i} JOIN cells USING (v) GROUP BY cluster, dim)")
+        steps.append(f"c{i + 1} AS (SELECT cluster, dim, CASE WHEN n IS NULL THEN c ELSE CAST((total - ((total % n) + n) % n) // n AS BIGINT) END AS c FROM c{i} LEFT JOIN m{i} USING (cluster, dim))")
+    return ",\n".join(steps)
+
+
+ORACLES["op12_centroids"] = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS v, vec_id, sha256('3:' || vec_id) AS h, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+cells AS (
+  SELECT v, vec_id, h, unnest(range(64)) AS dim, unnest(list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS x FROM kept),
+{centroid_rounds(8, 10)},
+last AS (SELECT v, any_value(vec_id) AS vec_id, cluster, CAST(sum((x - c) * (x - c)) AS BIGINT) AS distance FROM cells JOIN c10 USING (dim) GROUP BY v, cluster),
+best AS (SELECT v, any_value(vec_id) AS vec_id, CAST(arg_min(cluster, (distance, cluster)) AS INTEGER) AS cluster, min(distance) AS distance FROM last GROUP BY v),
+digests AS (SELECT CAST(cluster AS INTEGER) AS cluster, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY dim)) AS centroid_sha256 FROM c10 GROUP BY cluster)
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM best JOIN digests USING (cluster)
+"""
+
+# A table for CRC-32 one byte at a time, then the ids with it; the trees level by level from the leaves; a document's ancestors are
+# the nodes at place idx // 3^level of its source's tree, then at the subroot's place in the dataset's tree.
+ORACLES["op13_merkle"] = """
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, CAST(i AS BIGINT))) AS t),
+docs AS (
+  SELECT row_number() OVER () AS r, *,
+    xor(list_reduce(list_transform(regexp_extract_all(CAST(doc_id AS VARCHAR), '.'), lambda c: CAST(ascii(c) AS BIGINT)),
+      lambda a, c: xor(a >> 8, t[(xor(a, c) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS crc
+  FROM documents, crc_table),
+fields AS (
+  SELECT r, doc_id, source, crc, coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+      || coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+      || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS head,
+    text, replace(text, chr(10), '') AS cut
+  FROM docs),
+hashed AS (
+  SELECT r, doc_id, source, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+    CASE WHEN crc % 2 = 0 THEN sha256(head || coalesce(octet_length(encode(cut)) || ':' || cut, '-'))
+      ELSE sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) END AS received
+  FROM fields),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS size FROM hashed),
+trees AS (
+  SELECT 0 AS level, source, idx, size, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT level + 1, source, idx // 3, (any_value(size) + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM trees WHERE size > 1 GROUP BY level, source, idx // 3),
+tops AS (
+  SELECT source, digest AS subroot, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS place, count(*) OVER () AS size FROM trees WHERE size = 1),
+upper AS (
+  SELECT 0 AS level, place AS idx, size, subroot AS digest FROM tops
+  UNION ALL
+  SELECT level + 1, idx // 3, (any_value(size) + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx)) FROM upper WHERE size > 1 GROUP BY level, idx // 3),
+steps AS (
+  SELECT l.r, t.level, coalesce(string_agg(t.digest, '' ORDER BY t.idx) FILTER (t.idx < l.idx // CAST(pow(3, t.level) AS BIGINT)), '') AS before,
+    coalesce(string_agg(t.digest, '' ORDER BY t.idx) FILTER (t.idx > l.idx // CAST(pow(3, t.level) AS BIGINT)), '') AS after
+  FROM leaves l JOIN trees t ON t.source IS NOT DISTINCT FROM l.source AND t.size > 1 AND t.idx // 3 = l.idx // CAST(pow(3, t.level + 1) AS BIGINT)
+  GROUP BY l.r, t.level
+  UNION ALL
+  SELECT l.r, 1000 + u.level, coalesce(string_agg(u.digest, '' ORDER BY u.idx) FILTER (u.idx < p.place // CAST(pow(3, u.level) AS BIGINT)), ''),
+    coalesce(string_agg(u.digest, '' ORDER BY u.idx) FILTER (u.idx > p.place // CAST(pow(3, u.level) AS BIGINT)), '')
+  FROM leaves l JOIN tops p ON p.source IS NOT DISTINCT FROM l.source JOIN upper u ON u.size > 1 AND u.idx // 3 = p.place // CAST(pow(3, u.level + 1) AS BIGINT)
+  GROUP BY l.r, u.level),
+paths AS (SELECT r, list([before, after] ORDER BY level) AS path, sha256(string_agg(before || after, '' ORDER BY level)) AS proof_sha256 FROM steps GROUP BY r)
+SELECT l.doc_id, l.leaf, p.subroot, u.digest AS root, coalesce(s.proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = u.digest AS verified
+FROM (SELECT leaves.*, path, coalesce(list_reduce(list_prepend([leaves.received, ''], path), lambda a, b: [sha256(b[1] || a[1] || b[2]), '']), [leaves.received])[1] AS folded_root
+      FROM leaves LEFT JOIN paths USING (r)) l
+LEFT JOIN paths s ON s.r = l.r JOIN tops p ON p.source IS NOT DISTINCT FROM l.source JOIN upper u ON u.size = 1
+"""
+
+
+# Base 32 takes five bits a character: five hex digits are four characters.
+ORACLES["op11_warc"] = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+hashed AS (SELECT *, sha1(html) AS h, max(page_id) OVER (PARTITION BY html) AS kept FROM payloads)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> kept THEN kept END AS refers_to
+FROM hashed
+"""

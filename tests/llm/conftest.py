@@ -22,7 +22,7 @@ def sql():
 
     def run(statement, sf_dir=f"{TESTDATA}/sf0.01"):
         con = duckdb.connect()
-        for name in ("documents", "conversations", "labels", "embeddings"):
+        for name in ("documents", "conversations", "labels", "embeddings", "pages"):
             con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
         return con.execute(statement).df()
 
