@@ -89,13 +89,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The languages, and presence rows with the number of each row's language; bounded whatever the table's size."""
+    """The languages, and packed presence rows with the number of each row's language; bounded whatever the table's size."""
     usable = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & has_letter(F.col("text")))
     usable = usable.select("lang", F.col("text").cast("string").alias("text"), F.xxhash64("doc_id").alias("place"))
     counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     names = sorted(r["lang"] for r in counts)
     if not names:
-        return [], np.zeros((0, DIMENSIONS), np.float32), np.zeros(0, np.int64)
+        return [], np.zeros((0, DIMENSIONS // 8), np.uint8), np.zeros(0, np.int64)
     each = max(1, SAMPLE // len(names))
     # A hash below a share that leaves a little more than `each` per language; what is too much goes below.
     share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, 1.3 * each / r["count"])))])
@@ -109,29 +109,44 @@ def training_sample(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]
             seen[k] += 1
             bits.append(np.frombuffer(r["bits"], np.uint8))
             labels.append(k)
-    rows = np.unpackbits(np.stack(bits), axis=1) if bits else np.zeros((0, DIMENSIONS), np.uint8)
-    return names, rows.astype(np.float32), np.array(labels, np.int64)
+    rows = np.stack(bits) if bits else np.zeros((0, DIMENSIONS // 8), np.uint8)
+    return names, rows, np.array(labels, np.int64)
+
+
+def dimension_blocks(rows: np.ndarray, width: int = 1024) -> Iterator[tuple[slice, np.ndarray]]:
+    """The presence rows a block of dimensions at a time, so that they never lie unpacked in memory as a whole."""
+    for first in range(0, DIMENSIONS, width):
+        yield slice(first, first + width), np.unpackbits(rows[:, first // 8 : (first + width) // 8], axis=1).astype(np.float32)
 
 
 def fit(rows: np.ndarray, labels: np.ndarray, languages: int) -> np.ndarray:
-    """DIMENSIONS x languages weights; the score of a text is its presence row times these over the root of its size."""
-    norms = np.sqrt(np.maximum(rows.sum(1), 1))[:, None]
-    unit = rows / norms
+    """DIMENSIONS x languages weights from packed presence rows; the score of a text is its presence row times these over the
+    root of its size."""
     every = [np.flatnonzero(labels == k) for k in range(languages)]
     share = max(1, LANDMARKS // max(languages, 1))
-    landmarks = unit[np.concatenate([e[:share] for e in every])]
-    values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(np.float64))
+    chosen = np.concatenate([e[:share] for e in every])
+    common, sizes = np.zeros((len(rows), len(chosen)), np.float32), np.zeros(len(rows), np.float32)  # whole numbers
+    for _, block in dimension_blocks(rows):
+        common += block @ block[chosen].T
+        sizes += block.sum(1)
+    norms = np.sqrt(np.maximum(sizes, 1).astype(np.float64))
+    kernel = common / norms[:, None] / norms[chosen]
+    values, vectors = np.linalg.eigh(kernel[chosen])
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])  # landmarks to Nyström features
-    features = (unit @ landmarks.T).astype(np.float64) @ root
+    features = kernel @ root
     features = np.hstack([features, np.ones((len(features), 1))])
     targets = np.where(labels[:, None] == np.arange(languages), 1.0, -1.0)
     counts = np.maximum(np.bincount(labels, minlength=languages), 1)
     weight = (1 / counts[labels])[:, None] * len(labels) / languages  # every language counts alike
     inner = features.T @ (features * weight) + RIDGE * np.eye(features.shape[1])
     solved = np.linalg.solve(inner, features.T @ (targets * weight))
-    linear = landmarks.T.astype(np.float64) @ (root @ solved[:-1])
-    return np.vstack([linear, solved[-1:]]).astype(np.float32)  # the last row is the bias
+    shares = (root @ solved[:-1]) / norms[chosen][:, None]  # what a landmark's dimensions add to each language
+    weights = np.empty((DIMENSIONS + 1, languages), np.float32)
+    for at, block in dimension_blocks(rows[chosen]):
+        weights[at] = block.T.astype(np.float64) @ shares
+    weights[-1] = solved[-1]  # the bias
+    return weights
 
 
 def scorer(names: list[str], weights):
