@@ -1004,3 +1004,7 @@ add("read_back_checks", read_back("cleaned", "(SELECT * FROM judged WHERE is_rej
 add("read_back_checks_faulty", read_back(
     "(SELECT * REPLACE (DISTANCE + CASE WHEN OP_UNIQUE_CARRIER = 'C03' AND MONTH = 1 THEN 1 ELSE 0 END AS DISTANCE) FROM cleaned WHERE NOT (YEAR = 1996 AND MONTH = 2))",
     "(SELECT * FROM judged WHERE is_rejected AND _source_month IS DISTINCT FROM 3)"), CLEAN)
+# Corrected months take the place of wrong ones, and a refused delivery leaves the published table: both read as the accepted flights.
+BY_MONTH = "SELECT YEAR, MONTH, count(*) AS flights, sum(DISTANCE) AS distance{} FROM cleaned GROUP BY YEAR, MONTH"
+add("replace_months", BY_MONTH.format(""), CLEAN)
+add("publish_refused", BY_MONTH.format(", TRUE AS refused"), CLEAN)

@@ -42,24 +42,51 @@ class Inputs:
         paths = [f"{self.sf_dir}/{t}.parquet" for t in flight_view.TABLES]
         return tables.inputs_version(self.spark, paths)
 
-    def _staged(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return tables.stage_once(self.spark, (self.sf_dir, self._version, name), build)
+    def _staged(self, name: str, build: Callable[[], DataFrame], watch: ledger.Watch) -> tuple[DataFrame, dict]:
+        return tables.stage_once(self.spark, (self.sf_dir, self._version, name), build, watch.metrics())
 
     @functools.cached_property
-    def raw(self) -> DataFrame:
-        return self._staged("raw", lambda: flight_view.raw_flights(self.spark, self.sf_dir))
+    def _raw(self) -> tuple[DataFrame, dict]:
+        return self._staged("raw", lambda: flight_view.raw_flights(self.spark, self.sf_dir), ledger.raw_watch())
 
     @functools.cached_property
-    def faulty(self) -> DataFrame:
-        return self._staged("faulty", lambda: flight_view.faulty_flights(self.spark, self.sf_dir))
+    def _faulty(self) -> tuple[DataFrame, dict]:
+        return self._staged("faulty", lambda: flight_view.faulty_flights(self.spark, self.sf_dir), ledger.raw_watch())
 
     @functools.cached_property
-    def accepted(self) -> DataFrame:
-        return self._staged("accepted", lambda: cleaning.accepted_flights(self.raw))
+    def _accepted(self) -> tuple[DataFrame, dict]:
+        return self._staged("accepted", lambda: cleaning.accepted_flights(self.raw), ledger.cleaned_watch())
 
     @functools.cached_property
+    def _accepted_faulty(self) -> tuple[DataFrame, dict]:
+        return self._staged("accepted_faulty", lambda: cleaning.accepted_flights(self.faulty), ledger.cleaned_watch())
+
+    @property
+    def raw(self) -> DataFrame:
+        return self._raw[0]
+
+    @property
+    def faulty(self) -> DataFrame:
+        return self._faulty[0]
+
+    @property
+    def accepted(self) -> DataFrame:
+        return self._accepted[0]
+
+    @property
     def accepted_faulty(self) -> DataFrame:
-        return self._staged("accepted_faulty", lambda: cleaning.accepted_flights(self.faulty))
+        return self._accepted_faulty[0]
+
+    def rejected(self, of: str = "raw") -> tuple[DataFrame, dict]:
+        """The rejects of the raw or the faulty records, and what their write counted."""
+        return self._staged(f"rejected {of}", lambda: cleaning.rejected_flights(getattr(self, of)), ledger.rejected_watch())
+
+    def ledgers(self, of: str = "raw") -> cleaning_job.Ledgers:
+        """Ledgers as the writes of the staged tables counted them."""
+        raw, clean = (self._raw, self._accepted) if of == "raw" else (self._faulty, self._accepted_faulty)
+        return cleaning_job.Ledgers(
+            ledger.raw_ledger_of(self.spark, raw[1]), ledger.cleaned_ledger_of(self.spark, clean[1]),
+            ledger.rejected_ledger_of(self.spark, self.rejected(of)[1]))
 
     def table(self, level: str) -> DataFrame:
         return kpi.grain_table(self.accepted, level)
@@ -832,30 +859,23 @@ def _evidence(i: Inputs) -> cleaning_job.Evidence:
     )
 
 
-def _pre_write(i: Inputs, raw: DataFrame) -> DataFrame:
-    accepted, rejected = cleaning.split_arrival_records(cleaning.classify_arrival_records(raw))
-    return cleaning_job.pre_write_checks(raw, cleaning.clean_flights(accepted), rejected, _evidence(i))
-
-
 @query
 def pre_write_checks(i: Inputs) -> DataFrame:
-    return _pre_write(i, i.raw)
+    return cleaning_job.pre_write_checks(i.ledgers(), i.accepted, i.rejected()[0], _evidence(i))
 
 
 @query
 def pre_write_checks_faulty(i: Inputs) -> DataFrame:
-    return _pre_write(i, i.faulty)
+    return cleaning_job.pre_write_checks(i.ledgers("faulty"), i.accepted_faulty, i.rejected("faulty")[0], _evidence(i))
 
 
 def _read_back(i: Inputs, written: Callable[[DataFrame], DataFrame], written_rejects: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    raw = i.raw
-    accepted, rejected = cleaning.split_arrival_records(cleaning.classify_arrival_records(raw))
-    cleaned = cleaning.clean_flights(accepted)
     accepted_path, rejected_path = (tables.scratch_path(i.spark, n) for n in ("accepted", "rejected"))
+    rejected = i.rejected()[0]
     tables.write_rejected(written_rejects(rejected), rejected_path)
-    tables.write_partitioned(written(cleaned), accepted_path)
+    tables.write_partitioned(written(i.accepted), accepted_path)
     return cleaning_job.read_back_checks(
-        raw, cleaned, rejected, tables.read_cleaned(i.spark, accepted_path), i.spark.read.parquet(rejected_path), _evidence(i))
+        i.ledgers(), rejected, tables.read_cleaned(i.spark, accepted_path), i.spark.read.parquet(rejected_path), _evidence(i))
 
 
 @query
@@ -872,6 +892,37 @@ def read_back_checks_faulty(i: Inputs) -> DataFrame:
         lambda rejected: rejected.where("NOT (_source_month <=> 3)"))
 
 
+def _by_month(table: DataFrame) -> DataFrame:
+    return table.groupBy("YEAR", "MONTH").agg(F.count("*").alias("flights"), F.sum("DISTANCE").alias("distance"))
+
+
+@query
+def replace_months(i: Inputs) -> DataFrame:
+    """A published table whose first quarters have wrong distances and lack a carrier; a corrected delivery of these quarters
+    replaces them. The table read back, by month."""
+    path, first = tables.scratch_path(i.spark, "published"), F.col("MONTH") <= 3
+    wrong = i.accepted.where(~first | (F.col("OP_UNIQUE_CARRIER") != "C01")).withColumn("DISTANCE", F.col("DISTANCE") + F.when(first, 9).otherwise(0))
+    tables.write_partitioned(wrong, path)
+    tables.replace_months(i.accepted.where(first), path)
+    return _by_month(tables.read_cleaned(i.spark, path))
+
+
+@query
+def publish_refused(i: Inputs) -> DataFrame:
+    """A cleaning job over the faulty records, whose checks fail, against a table published before: what is there afterwards,
+    by month, with the number of folders that lie beside it."""
+    folder = tables.scratch_path(i.spark, "published")
+    accepted_path, rejected_path = f"{folder}/accepted", f"{folder}/rejected"
+    tables.write_partitioned(i.accepted, accepted_path)
+    tables.write_rejected(i.rejected()[0], rejected_path)
+    try:
+        cleaning_job.run(i.faulty, _evidence(i), accepted_path, rejected_path, replace=True)
+        refused = False
+    except K.CheckFailure:
+        refused = True
+    return _by_month(tables.read_cleaned(i.spark, accepted_path)).withColumn("refused", F.lit(refused))
+
+
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build):
         return lambda spark, sf_dir: build(Inputs(spark, sf_dir))

@@ -1,4 +1,4 @@
-"""Raw records to accepted and rejected tables, with checks before any write and after reading back."""
+"""Raw records to accepted and rejected tables, with checks before and after reading back, then published in one step."""
 
 from __future__ import annotations
 
@@ -35,6 +35,20 @@ class Evidence:
     window: C.Period
 
 
+@dataclass(frozen=True)
+class Ledgers:
+    """Rows by file, month and status of the raw, cleaned and rejected tables, with the counters of the checks."""
+
+    raw: DataFrame
+    clean: DataFrame
+    reject: DataFrame
+
+
+def scanned_ledgers(raw: DataFrame, cleaned: DataFrame, rejected: DataFrame) -> Ledgers:
+    """The ledgers of tables that exist; a write that is counted (`ledger.Watch`) needs no such scan."""
+    return Ledgers(L.raw_ledger(raw), L.cleaned_ledger(cleaned), L.raw_partition_counts(rejected))
+
+
 def _levels(sides: dict[str, DataFrame]) -> DataFrame:
     """All ledgers stacked, summed by partition, month, status and in total, with a level label."""
     parts = None
@@ -77,15 +91,15 @@ def _differ(names: list[tuple[str, str]]) -> Column:
     return any_of(F.col(a) != F.col(b) for a, b in names)
 
 
-def pre_write_checks(raw: DataFrame, cleaned: DataFrame, rejected: DataFrame, evidence: Evidence) -> DataFrame:
-    """24 checks over one pass of each table and two value comparisons.
+def pre_write_checks(ledgers: Ledgers, cleaned: DataFrame, rejected: DataFrame, evidence: Evidence) -> DataFrame:
+    """24 checks over the ledgers and two value comparisons.
 
     The cleaned schema counts as one check and the cast, flag and clock issues of all raw records as one.
     """
     levels = _levels({
-        "raw": L.raw_ledger(raw),
-        "clean": L.cleaned_ledger(cleaned),
-        "reject": L.raw_partition_counts(rejected),
+        "raw": ledgers.raw,
+        "clean": ledgers.clean,
+        "reject": ledgers.reject,
         "base": _baseline_ledger(evidence.baseline),
     })
     n_raw, n_clean, n_reject, n_base = (F.col(f"{s}__n") for s in ("raw", "clean", "reject", "base"))
@@ -127,18 +141,18 @@ def pre_write_checks(raw: DataFrame, cleaned: DataFrame, rejected: DataFrame, ev
     ])
 
 
-def read_back_checks(raw: DataFrame, cleaned: DataFrame, rejected: DataFrame, cleaned_back: DataFrame,
-                     rejected_back: DataFrame, evidence: Evidence) -> DataFrame:
-    """17 checks of the tables read back from storage against the frames that were written."""
+def read_back_checks(ledgers: Ledgers, rejected: DataFrame, cleaned_back: DataFrame, rejected_back: DataFrame,
+                     evidence: Evidence) -> DataFrame:
+    """17 checks of the tables read back from storage against the ledgers recorded before or while they were written."""
     levels = _levels({
-        "raw": L.raw_partition_counts(raw),
-        "clean": L.cleaned_ledger(cleaned),
-        "reject": L.raw_partition_counts(rejected),
+        "raw": ledgers.raw,
+        "clean": ledgers.clean,
+        "reject": ledgers.reject,
         "back": L.cleaned_ledger(cleaned_back),
         "reject_back": L.raw_partition_counts(rejected_back),
     })
     n = {s: F.col(f"{s}__n") for s in ("raw", "clean", "reject", "back", "reject_back")}
-    missing = [(f"clean__{m}", f"back__{m}") for m in L.missingness_rules()]
+    missing = [(f"clean__{m}", f"back__{m}") for m in L.MISSINGNESS]
     known_status = F.coalesce(F.col("flight_status").isin(*C.STATUSES_WITH_INVALID), F.lit(False))
     ledger_checks = check_rows(levels, {
         "read_back_missingness_unchanged": _at("month", _differ(missing)),
@@ -167,11 +181,13 @@ def read_back_checks(raw: DataFrame, cleaned: DataFrame, rejected: DataFrame, cl
     ])
 
 
-def run(raw: DataFrame, evidence: Evidence, accepted_path: str, rejected_path: str) -> tuple[DataFrame, DataFrame]:
-    """Stage, classify, check, write, read back, check again. Returns both check tables.
+def run(raw: DataFrame, evidence: Evidence, accepted_path: str, rejected_path: str, replace: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Stage, classify, write beside the targets, check, read back, check again, publish. Returns both check tables.
 
-    The raw records are staged once as Parquet: text parsing is the expensive part, and each later pass
-    then reads only the columns it needs.
+    The raw records are staged once as Parquet, because text parsing is the expensive part. The casts run once, into the
+    tables that are published in the end. All three writes count their rows, so the checks before publishing scan
+    nothing but the reference window and the rejects. What is published takes its name by a rename: whatever fails, a table
+    that is there already stays as it was. `replace` allows such a table to be replaced.
     """
     spark: SparkSession = raw.sparkSession
 
@@ -179,23 +195,30 @@ def run(raw: DataFrame, evidence: Evidence, accepted_path: str, rejected_path: s
         """A few check rows, independent of what is staged."""
         return spark.createDataFrame(checks.collect(), checks.schema)
 
+    accepted_new, rejected_new = tables.beside(accepted_path), tables.beside(rejected_path)
     with tables.temporary(spark):
-        staged = tables.stage(raw, "raw")
-        accepted_raw, rejected_raw = split_arrival_records(classify_arrival_records(staged))
-        # The casts run once: checks and the table that is written read the staged result. It lies in folders by month,
-        # so the check of the reference window opens only its months.
-        path = tables.scratch_path(spark, "cleaned")
         try:
-            tables.write_partitioned(clean_flights(accepted_raw), path)
-            cleaned, rejected = tables.read_cleaned(spark, path), tables.stage(rejected_raw, "rejected")
-            before = small(pre_write_checks(staged, cleaned, rejected, evidence))
-            assert_checks(before, "before writing")
-            tables.write_rejected(rejected, rejected_path)
-            tables.write_partitioned(cleaned, accepted_path)
-            cleaned_back = tables.read_cleaned(spark, accepted_path)
-            rejected_back = spark.read.parquet(rejected_path)
-            after = small(read_back_checks(staged, cleaned, rejected, cleaned_back, rejected_back, evidence))
+            staged, raw_seen = tables.staged_and_counted(raw, "raw", L.raw_watch().metrics())
+            accepted_raw, rejected_raw = split_arrival_records(classify_arrival_records(staged))
+            clean_counts, reject_counts = (tables.Observed(w.metrics()) for w in (L.cleaned_watch(), L.rejected_watch()))
+            tables.write_rejected(rejected_raw, rejected_new, reject_counts)
+            tables.write_partitioned(clean_flights(accepted_raw), accepted_new, clean_counts)
+            cleaned, rejected = tables.read_cleaned(spark, accepted_new), spark.read.schema(rejected_raw.schema).parquet(rejected_new)
+            try:
+                ledgers = Ledgers(L.raw_ledger_of(spark, raw_seen), L.cleaned_ledger_of(spark, clean_counts.seen), L.rejected_ledger_of(spark, reject_counts.seen))
+            except L.TooManyKeys:
+                ledgers = scanned_ledgers(staged, clean_flights(accepted_raw), rejected_raw)
+            before = small(pre_write_checks(ledgers, cleaned, rejected, evidence))
+            assert_checks(before, "before publishing")
+            after = small(read_back_checks(ledgers, rejected_raw, cleaned, rejected, evidence))
             assert_checks(after, "after reading back")
+            if not replace:
+                taken = [p for p in (accepted_path, rejected_path) if tables.exists(spark, p)]
+                if taken:
+                    raise FileExistsError(", ".join(taken))
+            tables.publish(spark, rejected_new, rejected_path, replace)
+            tables.publish(spark, accepted_new, accepted_path, replace)
         finally:
-            tables.discard(spark, path)
+            for path in (accepted_new, rejected_new):
+                tables.discard(spark, path)
     return before, after

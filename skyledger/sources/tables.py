@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +56,32 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+class Observed:
+    """Counts taken of the rows that a write brings to their files.
+
+    The counts are taken in the tasks that write, behind any shuffle: a result task counts once however often it runs,
+    while map tasks that are run again after a lost executor would count twice.
+    """
+
+    def __init__(self, metrics: dict[str, Column]):
+        self._metrics, self._seen = metrics, Observation()
+
+    def of(self, frame: DataFrame) -> DataFrame:
+        return frame.observe(self._seen, *(c.alias(name) for name, c in self._metrics.items()))
+
+    @property
+    def seen(self) -> dict:
+        """The counts; waits for the write."""
+        return self._seen.get
+
+
+def staged_and_counted(frame: DataFrame, name: str, metrics: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """`stage`, with metrics of the rows from the write itself."""
+    counts = Observed(metrics)
+    staged = stage(counts.of(frame), name)
+    return staged, counts.seen
+
+
 _SCOPES: list[list[str]] = []
 
 
@@ -76,11 +102,12 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-_STAGED: dict[tuple, tuple[str, T.StructType]] = {}
+_STAGED: dict[tuple, tuple[str, T.StructType, dict]] = {}
 
 
-def stage_once(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
-    """The staged form of a frame many queries start from, written at its first use in this application.
+def stage_once(spark: SparkSession, key: tuple, build: Callable[[], DataFrame], metrics: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
+    """The staged form of a frame many queries start from, written at its first use in this application, and what `metrics`
+    counted in that write.
 
     `key` must name everything the frame depends on. A staged table that has been cleared is written anew.
     """
@@ -88,11 +115,12 @@ def stage_once(spark: SparkSession, key: tuple, build: Callable[[], DataFrame])
     for _ in range(2):
         if key not in _STAGED:
             frame, path = build(), scratch_path(spark, "staged")
-            frame.write.mode("errorifexists").parquet(path)
-            _STAGED[key] = path, frame.schema
-        path, schema = _STAGED[key]
+            counts = Observed(metrics) if metrics else None
+            (counts.of(frame) if counts else frame).write.mode("errorifexists").parquet(path)
+            _STAGED[key] = path, frame.schema, counts.seen if counts else {}
+        path, schema, seen = _STAGED[key]
         try:
-            return spark.read.schema(schema).parquet(path)
+            return spark.read.schema(schema).parquet(path), seen
         except AnalysisException:
             del _STAGED[key]
     raise FileNotFoundError(f"staged table {key} cannot be read back")
@@ -104,14 +132,59 @@ def inputs_version(spark: SparkSession, paths: list[str]) -> tuple:
     return tuple(listing.agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string")).first())
 
 
-def write_partitioned(cleaned: DataFrame, path: str) -> None:
-    """Accepted records as Snappy Parquet under YEAR= / MONTH= folders."""
+def write_partitioned(cleaned: DataFrame, path: str, counts: Observed | None = None) -> None:
+    """Accepted records as Snappy Parquet under YEAR= / MONTH= folders, counted on their way into the files if asked for."""
+    dealt = cleaned.hint("rebalance", "YEAR", "MONTH")
     (
-        cleaned.hint("rebalance", "YEAR", "MONTH")
+        (counts.of(dealt) if counts else dealt)
         .write.mode("errorifexists").option("compression", "snappy").partitionBy("YEAR", "MONTH").parquet(path)
     )
 
 
+def replace_months(cleaned: DataFrame, path: str) -> None:
+    """The months that `cleaned` holds take the place of the same months of a published table; other months stay. The new
+    files are written beside and moved in when all are complete."""
+    (
+        cleaned.hint("rebalance", "YEAR", "MONTH")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy("YEAR", "MONTH").parquet(path)
+    )
+
+
+def beside(target: str) -> str:
+    """A new path in the target's own folder, so that a rename brings it there; readers of the folder pass over it."""
+    folder, _, name = target.rstrip("/").rpartition("/")
+    return f"{folder}/_{name}-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (old, new))
+    if not old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, new):
+        raise OSError(f"{old} cannot be moved to {new}")
+
+
+def publish(spark: SparkSession, written: str, target: str, replace: bool = False) -> None:
+    """Give a table that was written beside its target, and checked there, the target's name. An earlier table is moved
+    aside first, only if `replace` says so, comes back if the rename fails, and is removed at the end."""
+    if not exists(spark, target):
+        _rename(spark, written, target)
+        return
+    if not replace:
+        raise FileExistsError(target)
+    old = beside(target)
+    _rename(spark, target, old)
+    try:
+        _rename(spark, written, target)
+    except Exception:
+        _rename(spark, old, target)
+        raise
+    discard(spark, old)
+
+
 def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
     """The cleaned table with its columns in contract order; filters on YEAR and MONTH prune folders."""
     return spark.read.schema(C.cleaned_schema()).parquet(path).select(*C.cleaned_schema().names)
@@ -122,9 +195,10 @@ def read_summary_input(spark: SparkSession, path: str) -> DataFrame:
     return read_cleaned(spark, path).select(*C.SUMMARY_INPUT_COLUMNS)
 
 
-def write_plain(frame: DataFrame, path: str) -> None:
+def write_plain(frame: DataFrame, path: str, counts: Observed | None = None) -> None:
     """Rejected records or an aggregate: Snappy Parquet, one file when small, as many as needed when not."""
-    frame.hint("rebalance").write.mode("errorifexists").option("compression", "snappy").parquet(path)
+    dealt = frame.hint("rebalance")
+    (counts.of(dealt) if counts else dealt).write.mode("errorifexists").option("compression", "snappy").parquet(path)
 
 
 write_rejected = write_plain

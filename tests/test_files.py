@@ -103,11 +103,11 @@ def test_named_views(spark):
 
 
 def test_staged_table_is_written_again_when_cleared(spark, tmp_path):
-    first = tables.stage_once(spark, ("test",), lambda: spark.range(3))
-    assert first.count() == 3
+    first, seen = tables.stage_once(spark, ("test",), lambda: spark.range(3), {"n": F.count("*"), "top": F.max("id")})
+    assert first.count() == 3 and seen == {"n": 3, "top": 2}
     key = next(k for k in tables._STAGED if k[1:] == ("test",))
-    tables._STAGED[key] = (f"{tmp_path}/gone", first.schema)
-    assert tables.stage_once(spark, ("test",), lambda: spark.range(3)).count() == 3
+    tables._STAGED[key] = (f"{tmp_path}/gone", first.schema, {})
+    assert tables.stage_once(spark, ("test",), lambda: spark.range(3))[0].count() == 3
 
 
 def test_summary_csv_keeps_the_order_of_the_query(spark, medium, tmp_path):
