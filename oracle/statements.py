@@ -1008,3 +1008,38 @@ add("read_back_checks_faulty", read_back(
 BY_MONTH = "SELECT YEAR, MONTH, count(*) AS flights, sum(DISTANCE) AS distance{} FROM cleaned GROUP BY YEAR, MONTH"
 add("replace_months", BY_MONTH.format(""), CLEAN)
 add("publish_refused", BY_MONTH.format(", TRUE AS refused"), CLEAN)
+
+# --- deliveries ------------------------------------------------------------------------
+
+add("same_values_in_full", f"SELECT x AS only_left, y AS only_right, x = 0 AND y = 0 AS same FROM (SELECT "
+    f"(SELECT count(*) FROM ({except_all('raw', 'faulty', RAW_LIST)})) AS x, (SELECT count(*) FROM ({except_all('faulty', 'raw', RAW_LIST)})) AS y)",
+    FAULTY)
+add("same_values_equal", f"SELECT x AS only_left, x AS only_right, x = 0 AS same FROM (SELECT count(*) AS x FROM ({except_all('cleaned', 'cleaned', '*')}))", CLEAN)
+add("malformed_rows", "SELECT _source_file, count(*) FILTER (WHERE NOT broken) AS read_rows, count(*) FILTER (WHERE broken) AS malformed_rows "
+    "FROM (SELECT _source_file, CAST(OP_CARRIER_FL_NUM AS BIGINT) % 97 IN (5, 6) AS broken FROM raw) GROUP BY ALL")
+# A month's file: its lines in the order of their text, each with a line break.
+DELIVERED = ("SELECT _source_file AS file_name, string_agg(line || chr(10), '' ORDER BY line) AS content FROM (SELECT _source_file, "
+             "concat_ws(',', FL_DATE, OP_UNIQUE_CARRIER, OP_CARRIER_FL_NUM, TAIL_NUM, CRS_DEP_TIME, DISTANCE) AS line FROM raw) GROUP BY ALL")
+add("file_digests", f"SELECT file_name, CAST(octet_length(encode(content)) AS BIGINT) AS size_bytes, sha256(content) AS sha256 FROM ({DELIVERED})")
+# The manifest of those files with its planted faults, held against them file by file.
+MANIFEST = """(SELECT f.file_name, m.file_name AS listed, f.size <> m.size AS other_size, f.hash <> lower(m.hash) AS other_hash,
+    NOT regexp_full_match(m.hash, '[0-9a-fA-F]{64}') AS no_hash
+  FROM facts f FULL JOIN (
+    SELECT CASE WHEN copied THEN 'ontime_1990_01.csv' ELSE file_name END AS file_name, size + CAST(file_name LIKE '%1996_06.csv' AS BIGINT) AS size,
+      CASE WHEN file_name LIKE '%1996_07.csv' THEN sha256(hash) WHEN file_name LIKE '%1996_08.csv' THEN 'unknown' ELSE upper(hash) END AS hash
+    FROM (SELECT *, FALSE AS copied FROM facts UNION ALL SELECT *, TRUE FROM facts WHERE file_name LIKE '%1996_09.csv')
+    WHERE file_name NOT LIKE '%1996_05.csv') m ON f.file_name = m.file_name)"""
+add("check_manifest", checks(MANIFEST, {
+    "no_missing_file": count_if("file_name IS NULL"), "no_unexpected_file": count_if("listed IS NULL"),
+    "no_repeated_file": "(SELECT count(*) FROM (SELECT file_name FROM facts GROUP BY ALL HAVING count(*) > 1))",
+    "manifest_hash_well_formed": count_if("no_hash"), "sizes_match": count_if("other_size"), "hashes_match": count_if("other_hash"),
+}), {"facts": f"SELECT file_name, octet_length(encode(content)) AS size, sha256(content) AS hash FROM ({DELIVERED})"})
+_names = ", ".join(f"'{c}'" for c in RAW)
+_headers = {"headers": f"SELECT _source_file AS file_name, CASE WHEN _source_file LIKE '%1996_02%' THEN [{_names}][:-2] "
+            f"WHEN _source_file LIKE '%1996_03%' THEN list_prepend(lower('{RAW[0]}'), [{_names}][2:]) "
+            f"WHEN _source_file LIKE '%1996_04%' THEN ['{RAW[1]}', '{RAW[0]}'] || [{_names}][3:] ELSE [{_names}] END AS names, "
+            f"[{_names}] AS expected FROM (SELECT DISTINCT _source_file FROM raw)"}
+_outside = "array_to_string(list_filter({0}, lambda n: NOT list_contains({1}, n)), ',')"
+add("check_header", f"SELECT file_name, {_outside.format('expected', 'names')} AS missing, {_outside.format('names', 'expected')} AS unexpected, "
+    "CAST(1 AS BIGINT) AS violations FROM headers WHERE names <> expected "
+    "UNION ALL SELECT 'all files', '', '', count(*) FILTER (WHERE names <> expected) FROM headers", _headers)

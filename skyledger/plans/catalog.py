@@ -18,7 +18,7 @@ from skyledger.functions.text import normalized_text, parse_flight_date, safe_bi
 from skyledger.operators import checks as K
 from skyledger.operators import cleaning, compare, diagnostics, duplicates, kpi, ledger, profiling, ranking, recount, reports, rules
 from skyledger.plans import analytics_job, cleaning_job, summary_job
-from skyledger.sources import files, flight_view, tables
+from skyledger.sources import digests, files, flight_view, tables
 
 PERIOD = flight_view.VIEW_PERIOD
 QUARTER = C.Period((1996,), (1, 2, 3))
@@ -149,6 +149,85 @@ def read_raw_csv(i: Inputs) -> DataFrame:
     return files.read_raw_csv(i.spark, f"{path}/*", folder)
 
 
+def _csv_folder(i: Inputs, records: DataFrame, name: str) -> str:
+    """Records (source, text) as one folder of headed CSV text per source file; line 0 of each is the header."""
+    path = tables.scratch_path(i.spark, name)
+    header = F.lit(",".join(C.RAW_COLUMNS))
+    lines = records.select("source", F.lit(1).alias("place"), F.col("text").alias("value"))
+    heads = records.select("source").distinct().select("source", F.lit(0).alias("place"), header.alias("value"))
+    dealt = lines.union(heads).repartition("source").sortWithinPartitions("source", "place")  # a file is one task's text
+    dealt.select("source", "value").write.mode("errorifexists").partitionBy("source").text(path)
+    return path
+
+
+FOLDER = r"source=([^/]+)/[^/]+$"
+
+
+@query
+def malformed_rows(i: Inputs) -> DataFrame:
+    """All raw records as CSV text, some of them cut off behind 20 fields and some with a field too many."""
+    text = F.to_csv(F.struct(*C.RAW_COLUMNS))
+    number = F.col("OP_CARRIER_FL_NUM").cast("int") % 97
+    broken = F.when(number == 5, F.substring_index(text, ",", 20)).when(number == 6, F.concat(text, F.lit(",x"))).otherwise(text)
+    path = _csv_folder(i, i.raw.select(F.col("_source_file").alias("source"), broken.alias("text")), "broken-csv")
+    good, bad = files.read_with_quarantine(i.spark, f"{path}/*", F.regexp_extract(F.col("_metadata.file_path"), FOLDER, 1))
+    read = good.groupBy("_source_file").agg(F.count("*").alias("read_rows"))
+    return read.join(files.malformed_rows(bad), "_source_file", "full").select(
+        "_source_file", F.coalesce("read_rows", F.lit(0)).alias("read_rows"), F.coalesce("malformed_rows", F.lit(0)).alias("malformed_rows"))
+
+
+def _delivery(i: Inputs) -> str:
+    """One text file for each month of the raw records, its lines in the order of their text, so that its bytes are known."""
+    text = F.concat_ws(",", "FL_DATE", "OP_UNIQUE_CARRIER", "OP_CARRIER_FL_NUM", "TAIL_NUM", "CRS_DEP_TIME", "DISTANCE")
+    path = tables.scratch_path(i.spark, "delivery")
+    lines = i.raw.select(F.col("_source_file").alias("source"), text.alias("value"))
+    lines.repartition("source").sortWithinPartitions("source", "value").write.partitionBy("source").text(path)
+    return path
+
+
+def _delivered(i: Inputs, path: str) -> DataFrame:
+    found = digests.file_digests(i.spark, f"{path}/*")
+    return found.select(F.regexp_extract("path", FOLDER, 1).alias("file_name"), "size_bytes", "sha256")
+
+
+@query
+def file_digests(i: Inputs) -> DataFrame:
+    return _delivered(i, _delivery(i))
+
+
+@query
+def check_manifest(i: Inputs) -> DataFrame:
+    """Against a manifest with one wrong size, one wrong hash, one hash that is none, upper-case hashes, one file too many
+    and one too few."""
+    path = _delivery(i)
+    month = F.substring_index(F.col("file_name"), "_", -2)
+    bent = _delivered(i, path).where(month != "1996_05.csv").select(
+        "file_name",
+        (F.col("size_bytes") + F.when(month == "1996_06.csv", 1).otherwise(0)).alias("size_bytes"),
+        F.when(month == "1996_07.csv", F.sha2(F.col("sha256"), 256)).when(month == "1996_08.csv", "unknown").otherwise(F.upper("sha256")).alias("sha256"))
+    extra = bent.where(month == "1996_09.csv").withColumn("file_name", F.lit("ontime_1990_01.csv"))
+    return files.check_manifest(_delivered(i, path), bent.union(extra))
+
+
+@query
+def check_header(i: Inputs) -> DataFrame:
+    """Headers of the months' files, as text: of 1996, February lacks a name, March has one in lower case, April two in another
+    order. Rows of problems and the check's own row."""
+    names = list(C.RAW_COLUMNS)
+    wrong = {"1996_02": names[:-1], "1996_03": [names[0].lower(), *names[1:]], "1996_04": [names[1], names[0], *names[2:]]}
+    header = F.lit(",".join(names))
+    for month, changed in wrong.items():
+        header = F.when(F.col("source").contains(month), ",".join(changed)).otherwise(header)
+    path = tables.scratch_path(i.spark, "headers")
+    i.raw.groupBy(F.col("_source_file").alias("source")).agg(F.max(F.struct(*C.RAW_COLUMNS)).alias("row")).select(
+        "source", F.concat_ws("\n", header, F.to_csv("row")).alias("value")).repartition("source").write.partitionBy("source").text(path)
+    facts = files.file_headers(i.spark, f"{path}/*", F.regexp_extract(F.col("_metadata.file_path"), FOLDER, 1))
+    problems = files.header_problems(facts).where("NOT header_matches").select(
+        "file_name", F.array_join("missing_names", ",").alias("missing"), F.array_join("unexpected_names", ",").alias("unexpected"), F.lit(1).cast("long").alias("violations"))
+    failed = files.check_header(facts).select(F.lit("all files").alias("file_name"), F.lit("").alias("missing"), F.lit("").alias("unexpected"), "violations")
+    return problems.unionByName(failed)
+
+
 @query
 def write_partitioned(i: Inputs) -> DataFrame:
     path = tables.scratch_path(i.spark, "accepted")
@@ -694,6 +773,17 @@ def same_values(i: Inputs) -> DataFrame:
     return compare.same_values(i.raw.select(*C.RAW_COLUMNS), i.faulty.select(*C.RAW_COLUMNS))
 
 
+@query
+def same_values_in_full(i: Inputs) -> DataFrame:
+    return compare.same_values(i.raw.select(*C.RAW_COLUMNS), i.faulty.select(*C.RAW_COLUMNS), in_full=True)
+
+
+@query
+def same_values_equal(i: Inputs) -> DataFrame:
+    """Two equal tables: the accepted one and a copy dealt in another way."""
+    return compare.same_values(i.accepted, i.accepted.repartition(5, "TAIL_NUM"))
+
+
 @query
 def signed_rows(i: Inputs) -> DataFrame:
     return compare.signed_rows(i.raw.select(*C.RAW_COLUMNS), i.faulty.select(*C.RAW_COLUMNS))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger import contract as C
 from skyledger.functions.measures import count_when
 from skyledger.operators.compare import side_by_side
 from skyledger.operators.checks import check_rows
+from skyledger.sources import digests, tables
 
 BYTE_ORDER_MARK = "\ufeff"
 
@@ -53,6 +55,31 @@ def read_raw_csv(spark: SparkSession, paths: str | list[str], file_name: Column
     return with_lineage(reader.csv(paths), file_name)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_with_quarantine(spark: SparkSession, paths: str | list[str], file_name: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """The records that can be read, as `read_raw_csv` gives them, and a quarantine table of those that cannot: the text of
+    each malformed row with its source file, year and month.
+
+    A row is malformed if it has more or fewer fields than the header. Both tables read one staged parse, because a second,
+    pruned parse could judge rows in another way.
+    """
+    schema = T.StructType([*C.raw_schema().fields, T.StructField(CORRUPT, T.StringType())])
+    reader = (
+        spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("encoding", "UTF-8")
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+    )
+    parsed = tables.stage(with_lineage(reader.csv(paths), file_name), "parsed")
+    good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return good, parsed.where(F.col(CORRUPT).isNotNull()).select(*C.LINEAGE_COLUMNS, F.col(CORRUPT).alias("record"))
+
+
+def malformed_rows(quarantine: DataFrame) -> DataFrame:
+    """Number of malformed rows of each file that has any."""
+    return quarantine.groupBy("_source_file").agg(F.count("*").alias("malformed_rows"))
+
+
 def union_files(frames: list[DataFrame]) -> DataFrame:
     """Append frames by column name. For files, one multi-path `read_raw_csv` does the same in one scan."""
     result = frames[0]
@@ -71,12 +98,12 @@ def _file_name() -> Column:
     return F.element_at(F.split(F.input_file_name(), "/"), -1)
 
 
-def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def file_headers(spark: SparkSession, paths: str | list[str], file_name: Column | None = None) -> DataFrame:
     """Name and header names of each file: its first line, however long, found by the place of the line in the file.
 
     The text source splits a file, and a partial minimum brings one line of each split to the shuffle."""
     lines = spark.read.text(paths).select(
-        _file_name().alias("file_name"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"), "value")
+        (_file_name() if file_name is None else file_name).alias("file_name"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"), "value")
     first = lines.groupBy("file_name").agg(F.min_by("value", F.struct("block", "line")).alias("value"))
     names = F.split(F.regexp_replace("value", f"^{BYTE_ORDER_MARK}|\r$", ""), ",")
     return first.select("file_name", F.transform(names, lambda name: F.regexp_replace(name, '^"|"$', "")).alias("header"))
@@ -92,14 +119,8 @@ def file_contents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def file_facts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Name, size, SHA-256 and header names of each file, files spread over the cluster.
-
-    SHA-256 runs over a file from its first to its last byte, so a file is one value of the `binaryFile` source here, which
-    ends at 2 GB. `file_contents` has no such limit.
-    """
-    content = spark.read.format("binaryFile").load(paths)
-    hashed = content.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
+    """Name, size, SHA-256 and header names of each file of any size, files spread over the cluster."""
+    hashed = digests.file_digests(spark, paths).select("file_name", "size_bytes", "sha256")
     return hashed.join(file_headers(spark, paths), "file_name", "left")
 
 
