@@ -1011,7 +1011,7 @@ add("publish_refused", BY_MONTH.format(", TRUE AS refused"), CLEAN)
 
 # --- deliveries ------------------------------------------------------------------------
 
-add("same_values_in_full", f"SELECT x AS only_left, y AS only_right, x = 0 AND y = 0 AS same FROM (SELECT "
+add("same_values_by_digest", f"SELECT x AS only_left, y AS only_right, x = 0 AND y = 0 AS same FROM (SELECT "
     f"(SELECT count(*) FROM ({except_all('raw', 'faulty', RAW_LIST)})) AS x, (SELECT count(*) FROM ({except_all('faulty', 'raw', RAW_LIST)})) AS y)",
     FAULTY)
 add("same_values_equal", f"SELECT x AS only_left, x AS only_right, x = 0 AS same FROM (SELECT count(*) AS x FROM ({except_all('cleaned', 'cleaned', '*')}))", CLEAN)

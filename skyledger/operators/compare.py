@@ -28,7 +28,7 @@ def signed_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     return tagged.groupBy(*columns).agg(F.sum("surplus").alias("surplus")).filter(F.col("surplus") != 0)
 
 
-#: Parts in which two tables are compared by digest. Their numbers are all that is broadcast.
+#: Parts in which two tables are compared by digest, a power of two. Their numbers are all that is broadcast.
 BUCKETS = 1 << 14
 
 
@@ -55,7 +55,7 @@ def differing_buckets(left: DataFrame, right: DataFrame, buckets: int = BUCKETS)
         one, two = row_hashes([_hashable(frame.schema[c]) for c in columns])
         rows = frame.select(one.alias("one"), two.alias("two"))
         signed = lambda c: (F.lit(sign) * F.col(c).cast("decimal(20,0)")).cast("decimal(20,0)")
-        return rows.select(F.pmod("one", F.lit(buckets)).alias("bucket"), F.lit(sign).alias("rows"), signed("one").alias("one"), signed("two").alias("two"))
+        return rows.select(F.col("one").bitwiseAND(F.lit(buckets - 1)).alias("bucket"), F.lit(sign).alias("rows"), signed("one").alias("one"), signed("two").alias("two"))
 
     sums = hashed(left, 1).union(hashed(right, -1)).groupBy("bucket").agg(*(F.sum(c).alias(c) for c in ("rows", "one", "two")))
     return sums.where("rows <> 0 OR one <> 0 OR two <> 0").select("bucket")
@@ -63,23 +63,25 @@ def differing_buckets(left: DataFrame, right: DataFrame, buckets: int = BUCKETS)
 
 def in_buckets(frame: DataFrame, columns: list[str], found: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """The rows that fall into the buckets found."""
-    bucket = F.pmod(row_hashes([_hashable(frame.schema[c]) for c in columns])[0], F.lit(buckets))
+    bucket = row_hashes([_hashable(frame.schema[c]) for c in columns])[0].bitwiseAND(F.lit(buckets - 1))
     return frame.join(F.broadcast(found.withColumnRenamed("bucket", "_bucket")), bucket == F.col("_bucket"), "left_semi")  # BUCKETS rows at most
 
 
-def same_values(left: DataFrame, right: DataFrame, in_full: bool = False) -> DataFrame:
+def same_values(left: DataFrame, right: DataFrame, by_digest: bool = False) -> DataFrame:
     """One row: how many rows only the left and only the right has, and whether both hold the same multiset.
 
-    Column order is ignored; duplicates and NULLs count; different names or types are never the same. Digests of hash
-    buckets come first, and full rows are shuffled only for buckets that differ, none for equal tables. Two tables that
-    differ have the same digests with a probability of about 2^-128 a bucket; `in_full` compares all rows.
+    Column order is ignored; duplicates and NULLs count; different names or types are never the same. All rows are shuffled,
+    unless `by_digest`: then digests of hash buckets come first, and full rows are shuffled only for buckets that differ,
+    none for equal tables. Two tables that differ have the same digests with a probability of about 2^-128 a bucket.
+    Digests are for stored tables: they read both sides twice, and the optimizer takes very long over them where the
+    columns are still to be computed.
     """
     same_types = type_map(left.schema) == type_map(right.schema) and len(left.columns) == len(right.columns)
     if not same_types:
         return left.sparkSession.createDataFrame(
             [(None, None, False)], "only_left bigint, only_right bigint, same boolean"
         )
-    if not in_full:
+    if by_digest:
         found, columns = differing_buckets(left, right), left.columns
         left, right = (in_buckets(frame, columns, found) for frame in (left, right))
     surplus = F.col("surplus")

@@ -774,14 +774,14 @@ def same_values(i: Inputs) -> DataFrame:
 
 
 @query
-def same_values_in_full(i: Inputs) -> DataFrame:
-    return compare.same_values(i.raw.select(*C.RAW_COLUMNS), i.faulty.select(*C.RAW_COLUMNS), in_full=True)
+def same_values_by_digest(i: Inputs) -> DataFrame:
+    return compare.same_values(i.raw.select(*C.RAW_COLUMNS), i.faulty.select(*C.RAW_COLUMNS), by_digest=True)
 
 
 @query
 def same_values_equal(i: Inputs) -> DataFrame:
-    """Two equal tables: the accepted one and a copy dealt in another way."""
-    return compare.same_values(i.accepted, i.accepted.repartition(5, "TAIL_NUM"))
+    """Two equal tables: the accepted one and a stored copy dealt in another way."""
+    return compare.same_values(i.accepted, tables.stage(i.accepted.repartition("TAIL_NUM"), "copy"), by_digest=True)
 
 
 @query

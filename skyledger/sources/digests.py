@@ -76,9 +76,10 @@ class DigestReader(DataSourceReader):
 
 
 def file_digests(spark: SparkSession, paths: str | list[str], block: int = BLOCK) -> DataFrame:
-    """(path, file_name, size_bytes, sha256) of all files under `paths`. Spark lists them; the driver holds their names."""
+    """(path, file_name, size_bytes, sha256) of all files under `paths`, empty ones too. Spark lists them; the driver holds
+    their names, as escaped URIs."""
     spark.dataSource.register(FileDigests)
-    found = [r["path"] for r in spark.read.format("binaryFile").load(paths).select("path").collect()]
+    found = spark.read.format("binaryFile").load(paths).inputFiles()
     if not found:
         return spark.createDataFrame([], SCHEMA)
     return spark.read.format("file_digests").option("paths", "\n".join(found)).option("block", str(block)).load()

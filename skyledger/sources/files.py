@@ -131,7 +131,7 @@ def header_problems(facts: DataFrame) -> DataFrame:
         "file_name",
         F.array_except(expected, "header").alias("missing_names"),
         F.array_except("header", expected).alias("unexpected_names"),
-        (F.col("header") == expected).alias("header_matches"),
+        F.coalesce(F.col("header") == expected, F.lit(False)).alias("header_matches"),  # an empty file has no header
     )
 
 
