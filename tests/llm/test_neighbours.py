@@ -76,3 +76,36 @@ def test_recall_with_unequal_lengths(spark):
     rows = [(i, v.tolist()) for i, v in enumerate(unit)]
     frame = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
     assert recall(by_query(neighbours.nearest(frame, F.col("id") % 40 == 0)), brute(rows, 20, 40)) >= 0.95
+
+
+def test_one_very_long_vector(spark):
+    rng = np.random.default_rng(3)
+    unit = rng.normal(size=(3000, 32))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    unit[7] *= 100
+    rows = [(i, v.tolist()) for i, v in enumerate(unit)]
+    got = by_query(neighbours.nearest(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA), F.col("id") % 50 == 0))
+    want = brute(rows, 20, 50)
+    assert recall(got, want) >= 0.95
+    assert all(got[q][0][0] == 7 for q in want if want[q][0][0] == 7)
+
+
+def test_rows_of_one_id_and_vectors_of_other_lengths(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i % 40, rng.normal(size=4).tolist(), "x") for i in range(80)] + [(i, rng.normal(size=7).tolist(), "x") for i in range(100, 130)]
+    found = neighbours.nearest(spark.createDataFrame(rows, SCHEMA), F.col("id") % 20 == 0, k=100, opened=100.0).collect()
+    want = []
+    for q, v, _ in rows:
+        if q % 20 == 0:
+            v = np.array(v, np.float32).astype(float)
+            scores = [(-(v * np.array(w, np.float32).astype(float)).sum(), i) for n, (i, w, _) in enumerate(rows) if len(w) == len(v) and (i, w) != (q, list(w) if np.allclose(w, v, atol=1e-6) else None)]
+            want += [(q, r + 1, i, round(-s, 9)) for r, (s, i) in enumerate(sorted(scores))]
+    assert sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in found) == sorted(want)
+
+
+def test_pieces_of_files_give_the_same_rows(spark):
+    rng = np.random.default_rng(5)
+    frame = spark.createDataFrame([(i, rng.normal(size=8).tolist(), "x") for i in range(600)], SCHEMA)
+    whole = neighbours.nearest(frame, F.col("id") % 3 == 0, k=5, share=1.0)
+    dealt = neighbours.nearest(frame, F.col("id") % 3 == 0, k=5, share=1.0, block=10, query_block=7)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, dealt.collect()))
