@@ -36,6 +36,10 @@ CAPACITY = 4096
 END = 1
 SHARD = 4096
 OPEN_BELOW = 0.97
+GO_ON = 0.8
+OPEN_SHARE = 0.25
+FEWEST = 16
+JOINED = 300  # words that are encoded as one text
 
 SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 APOSTROPHE = 0x27
@@ -66,11 +70,47 @@ def encodable_parts(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, n
     return (data if special else lowered)[solid], np.flatnonzero(cut[solid])
 
 
+def word_ends(tokenizer) -> np.ndarray | None:
+    """Which ids end a word, or None if the vocabulary does not mark that."""
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    if not suffix:
+        return None
+    vocabulary = tokenizer.get_vocab()
+    marks = np.zeros(max(vocabulary.values()) + 1, bool)
+    marks[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return marks
+
+
+def encode_parts(tokenizer, parts: list[bytes], ends: np.ndarray | None) -> Iterator[tuple[bytes, bytes]]:
+    """Each part with the bytes of its ids. ASCII letters alone are one word to the tokenizer and each digit is one, so many
+    such parts are encoded as one text and its ids cut behind the last token of each part; where the words do not come out
+    even, and for all other parts, each is encoded by itself."""
+    even = lambda p: ends is not None and (p.isalpha() or p.isdigit())
+    words, single = [p for p in parts if even(p)], [p for p in parts if not even(p)]
+    groups = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+    for group, encoded in zip(groups, tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)):
+        ids = np.array(encoded.ids, np.uint32)
+        last = np.flatnonzero(ends[ids])
+        counts = np.cumsum([1 if p.isalpha() else len(p) for p in group])
+        if len(last) != counts[-1]:
+            single += group
+            continue
+        raw, begin = ids.tobytes(), 0
+        for part, end in zip(group, (4 * (last[counts - 1] + 1)).tolist()):
+            yield part, raw[begin:end]
+            begin = end
+    given = iter(single)
+    for texts in encode_groups(single):
+        for encoded in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            yield next(given), array.array("I", encoded.ids).tobytes()
+
+
 def piece_cutter(path: str, capacity: int):
     """The Arrow function: (doc_id, row, text) to one row for each piece of each document."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, known = load(path), {}
+        ends_word = word_ends(tokenizer)
         for batch in batches:
             for rows in B.chunks(batch, "text"):
                 data, begins, first = packed_words(rows.column("text"))
@@ -78,11 +118,7 @@ def piece_cutter(path: str, capacity: int):
                 bounds = np.append(starts_at, len(solid)).astype(np.int64)
                 parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts_at), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(solid))]).dictionary_encode()
                 distinct, which = parts.dictionary.to_pylist(), parts.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-                new = [w for w in distinct if w not in known]
-                fresh = iter(new)
-                for group in encode_groups(new):
-                    for encoded in tokenizer.encode_batch_fast(group, add_special_tokens=False):
-                        known[next(fresh)] = array.array("I", encoded.ids).tobytes()
+                known.update(encode_parts(tokenizer, [w for w in distinct if w not in known], ends_word))
                 ids_of = [known[w] for w in distinct]
                 sizes = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4
                 pool = np.frombuffer(b"".join(ids_of), np.uint32)
