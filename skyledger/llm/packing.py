@@ -6,8 +6,10 @@
 2. Pieces are dealt by hash into shards of about SHARD. A task packs a shard best-fit by falling length and then improves it:
    one underfull bin after the other gives documents to the others by a move, a one-for-one or a two-for-one exchange. Every exchange
    raises the sum of squared fills, and bins become empty.
-3. What is left half empty in each shard is dealt again into fewer shards until one remains, so shards cost about one open
-   bin in all instead of one each.
+3. What is left underfull in each shard is dealt again into fewer shards until one remains, so shards cost about one open bin
+   in all instead of one each. Once a level leaves more than GO_ON of its pieces (those above half a sequence, say, which
+   nothing fits), only the emptiest OPEN_SHARE of each shard's bins are dealt again from then on. A shard holds pieces for
+   FEWEST sequences or more, so every level is smaller than the one before by a fixed rate, whatever the lengths are.
 
 Defined cases: null text is the end token alone; rows repeat and are packed each; a text of any length is tokenized whole;
 an empty table gives an empty result; further columns of any name do no harm.
@@ -238,7 +240,7 @@ def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[li
     return full + [bins[k] for k in np.flatnonzero(alive)]
 
 
-def shard_packer(capacity: int, level: int):
+def shard_packer(capacity: int, level: int, share: float):
     """The grouped function: the pieces of one shard with the bin and the place each gets."""
 
     def pack(pieces: pd.DataFrame) -> pd.DataFrame:
@@ -252,10 +254,11 @@ def shard_packer(capacity: int, level: int):
                 place[i], offset[i] = k, used
                 used += lengths[i]
             fill[items] = used
-        least = np.argmin(fill) if len(fill) else 0
+        emptiest = sorted(range(len(bins)), key=lambda k: (sum(lengths[i] for i in bins[k]), k))
+        may_open = np.isin(place, emptiest[: max(1, int(share * len(bins)))])
         pieces["sequence_id"] = level * (1 << 56) + pieces["shard"].astype("int64") * (1 << 24) + place
         pieces["offset"] = offset
-        pieces["is_open"] = (fill < OPEN_BELOW * capacity) | (place == place[least])
+        pieces["is_open"] = may_open & ((fill < OPEN_BELOW * capacity) | (place == emptiest[0]))
         return pieces
 
     return pack
@@ -266,13 +269,17 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, shard: int =
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row", F.monotonically_increasing_id())
     piece = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
     left = stage(rows.mapInArrow(piece_cutter(tokenizer, capacity), piece), "pieces")
-    columns, done, level = left.columns, [], 0
+    columns, done, level, before, share = left.columns, [], 0, None, 1.0
     while True:
-        shards = -(-left.count() // shard)
-        dealt = left.withColumn("shard", F.pmod(F.xxhash64("row", "piece", F.lit(level)), F.lit(max(shards, 1))).cast("int"))
-        packed = dealt.groupBy("shard").applyInPandas(shard_packer(capacity, level), piece + ", shard int, sequence_id long, offset long, is_open boolean")
+        pieces, tokens = left.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+        if before and pieces > GO_ON * before:
+            share = OPEN_SHARE
+        before = pieces
+        shards = max(1, min(-(-pieces // shard), tokens // (FEWEST * capacity)))
+        dealt = left.withColumn("shard", F.pmod(F.xxhash64("row", "piece", F.lit(level)), F.lit(shards)).cast("int"))
+        packed = dealt.groupBy("shard").applyInPandas(shard_packer(capacity, level, share), piece + ", shard int, sequence_id long, offset long, is_open boolean")
         packed = stage(packed, "packed")
-        if shards <= 1 or level == 100:
+        if shards == 1:
             done.append(packed)
             break
         done.append(packed.where("NOT is_open"))

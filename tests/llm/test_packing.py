@@ -8,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from skyledger.llm import packing, queries
+from skyledger.llm.token_counts import load
 
 PATH = public_tokenizers.path(packing.TOKENIZER)
 
@@ -97,3 +98,34 @@ def test_bins_behind_a_stuck_one_are_emptied_too():
         after = packing.improve([list(b) for b in before], lengths, 4096)
         assert sorted(i for b in after for i in b) == list(range(1024))
         assert all(sum(lengths[i] for i in b) <= 4096 for b in after) and len(after) <= most * len(before)
+
+
+def test_words_encoded_together_equal_words_encoded_alone():
+    rng, tokenizer = random.Random(3), load(PATH)
+    make = lambda: "".join(rng.choice(rng.choice(["abcdefghij", "0123456789", "qxzkvw"])) for _ in range(rng.randrange(1, 12)))
+    words = sorted({make().encode() for _ in range(3000)} | {b"7", b"a", b"endoftext", "é".encode(), b"'s", b"a" * 5000, b"1" * 3000, b"!!"})
+    ends = packing.word_ends(tokenizer)
+    want = {w: np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32).tobytes() for w in words}
+    assert dict(packing.encode_parts(tokenizer, words, ends)) == want == dict(packing.encode_parts(tokenizer, words, None))
+    assert dict(packing.encode_parts(tokenizer, words, np.zeros_like(ends))) == want  # words that do not come out even
+    assert dict(packing.encode_parts(tokenizer, [], ends)) == {}
+
+
+@pytest.mark.parametrize("low, high", [(2100, 3900), (1500, 3900), (10, 11)])
+def test_levels_shrink_whatever_the_lengths_are(spark, docs_of, monkeypatch, low, high):
+    rng, sizes = random.Random(low), []
+    rows = [(i, "a " * (rng.randrange(low, high) // 10)) for i in range(3000)]
+    stage = packing.stage
+
+    def noted(frame, name):
+        staged = stage(frame, name)
+        if name == "packed":
+            sizes.append(staged.count())
+        return staged
+
+    monkeypatch.setattr(packing, "stage", noted)
+    above = check(packing.pack(docs_of(rows), PATH, capacity=409, shard=250).collect(), rows, 409)
+    assert len(sizes) <= 5 and sum(sizes[2:]) <= 0.8 * sizes[0]
+    lengths = [len(t) // 2 + 1 for _, t in rows]
+    in_one_task = packing.improve(packing.best_fit(lengths, 409), lengths, 409)
+    assert above + -(-sum(lengths) // 409) <= len(in_one_task) * 1.01 + 1
