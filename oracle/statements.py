@@ -103,7 +103,7 @@ add("lineage_check", checks("raw", {"source_period_known": count_if("_source_mon
 add("pruned_read", f"SELECT {', '.join(C.SUMMARY_INPUT_COLUMNS)} FROM cleaned", CLEAN)
 add("read_raw_csv", "SELECT * FROM raw")
 add("write_partitioned", "SELECT * FROM cleaned", CLEAN)
-add("roundtrip_parquet", f"SELECT YEAR, MONTH, {', '.join(C.CLOCK_COLUMNS)} FROM cleaned", CLEAN)
+add("roundtrip_parquet", "SELECT * FROM cleaned", CLEAN)
 
 
 def _reject_rows(source: str) -> str:
@@ -118,12 +118,15 @@ add("union_files", counted("_source_file", "raw"))
 
 # --- typing, cleaning, classification --------------------------------------------------
 
-add("normalize_text", counted(f"CRS_DEP_TIME AS text, {trim_null('CRS_DEP_TIME')} AS normalized", "faulty"), FAULTY)
+add("normalize_text", union(*(
+    counted(f"'{c}' AS \"column\", {c} AS text, {trim_null(c)} AS normalized", "faulty") for c in RAW
+)), FAULTY)
 add("binary_flags", union(*(
     counted(f"'{c}' AS \"column\", {c} AS \"value\", CAST({flag(c)} AS INTEGER) AS flag", "faulty") for c in C.FLAG_COLUMNS
 )), FAULTY)
-add("text_to_int", counted(
-    "OP_CARRIER_AIRLINE_ID AS text, try_cast(trunc(try_cast(OP_CARRIER_AIRLINE_ID AS DOUBLE)) AS INTEGER) AS number", "faulty"), FAULTY)
+add("text_to_int", union(*(
+    counted(f"'{c}' AS \"column\", {c} AS text, try_cast(trunc(try_cast({c} AS DOUBLE)) AS INTEGER) AS number", "faulty") for c in C.INT_COLUMNS
+)), FAULTY)
 add("flight_dates", counted(
     "FL_DATE AS text, CAST(try_strptime(FL_DATE, '%m/%d/%Y %I:%M:%S %p') AS DATE) AS flight_date", "faulty"), FAULTY)
 add("clean_flights", "SELECT * FROM typed_faulty", FAULTY, TYPED_FAULTY)
@@ -137,7 +140,7 @@ PROFILE_STATUS = f"""CASE WHEN {dbl('CANCELLED')} NOT IN (0, 1) OR {dbl('DIVERTE
 add("profile_statuses", counted(f"CANCELLED, DIVERTED, {PROFILE_STATUS} AS status", "faulty"), FAULTY)
 _blank_names = ", ".join(f"CASE WHEN {trim_null(c)} IS NULL THEN '{c}' END" for c in C.ESSENTIAL_ARRIVAL)
 add("classify_arrival_records",
-    f"SELECT _source_file, FL_DATE, OP_CARRIER_FL_NUM, CANCELLED, DIVERTED, {', '.join(C.ESSENTIAL_ARRIVAL)}, "
+    f"SELECT {RAW_LIST}, {LINEAGE}, "
     f"CASE WHEN is_rejected THEN '{C.REJECTION_REASON}' END AS rejection_reason, "
     f"concat_ws(',', {_blank_names}) AS missing_fields FROM judged_faulty", FAULTY, CLEAN_FAULTY)
 add("split_arrival_records", counted(
@@ -177,8 +180,7 @@ def suspects(name: str) -> dict[str, str]:
     return {name: SUSPECTS[name]}
 
 
-add("arrival_suspects", f"SELECT _source_file, FL_DATE, OP_CARRIER_FL_NUM, TAIL_NUM, {', '.join(C.ESSENTIAL_ARRIVAL + MARKERS)} "
-    "FROM suspects_faulty", FAULTY, suspects("suspects_faulty"))
+add("arrival_suspects", "SELECT * FROM suspects_faulty", FAULTY, suspects("suspects_faulty"))
 add("eligible_delayed", counted("YEAR, MONTH", "cleaned_faulty", "eligible_flights", DELAYED), FAULTY, CLEAN_FAULTY)
 add("volume_threshold", "SELECT * FROM t_airline WHERE completed_flights >= 30 AND arrival_delay_rate IS NOT NULL",
     CLEAN, grain("airline"))
@@ -456,7 +458,7 @@ MISSING_RULES = {
 }
 add("arrival_missingness", "SELECT YEAR, MONTH, " + ", ".join(f"{count_if(r)} AS {n}" for n, r in MISSING_RULES.items())
     + " FROM typed_faulty GROUP BY YEAR, MONTH", FAULTY, TYPED_FAULTY)
-add("month_counts", "SELECT CASE WHEN YEAR IS NOT NULL AND MONTH BETWEEN 1 AND 12 THEN printf('%04d-%02d', YEAR, MONTH) "
+add("month_counts", "SELECT CASE WHEN YEAR IS NOT NULL AND MONTH IS NOT NULL THEN printf('%04d-%02d', YEAR, MONTH) "
     f"ELSE '{C.NO_PARTITION}' END AS partition, count(*) AS row_count FROM typed_faulty GROUP BY 1", FAULTY, TYPED_FAULTY)
 RAW_PARTS = f"SELECT _source_year AS year, _source_month AS month, _source_file, {W.RAW_STATUS} AS flight_status, count(*) AS n FROM {{0}} GROUP BY ALL"
 CLEAN_PARTS = "SELECT YEAR AS year, MONTH AS month, _source_file, flight_status, count(*) AS n FROM {0} GROUP BY ALL"
@@ -1043,3 +1045,14 @@ _outside = "array_to_string(list_filter({0}, lambda n: NOT list_contains({1}, n)
 add("check_header", f"SELECT file_name, {_outside.format('expected', 'names')} AS missing, {_outside.format('names', 'expected')} AS unexpected, "
     "CAST(1 AS BIGINT) AS violations FROM headers WHERE names <> expected "
     "UNION ALL SELECT 'all files', '', '', count(*) FILTER (WHERE names <> expected) FROM headers", _headers)
+
+
+# --- stored states and SQL users -------------------------------------------------------
+
+STATEMENTS["kpi_by_delivery"] = STATEMENTS["kpi_summary"]
+_quarter_counts = ", ".join(f"count(DISTINCT {c}) AS {c}" for c in C.CARDINALITY_COLUMNS)
+add("distinct_counts_by_quarter", "SELECT * FROM (SELECT coalesce(months, 'all') AS months, * EXCLUDE (months) FROM "
+    f"(SELECT 'Q' || CAST((_source_month + 2) // 3 AS VARCHAR) AS months, {_quarter_counts} FROM faulty GROUP BY GROUPING SETS ((1), ()))) "
+    f"UNPIVOT (distinct_non_null FOR \"column\" IN ({', '.join(C.CARDINALITY_COLUMNS)}))", FAULTY)
+for _name in ("airline_ranking", "high_delay_routes", "departure_time_band"):
+    STATEMENTS[f"sql_{_name}"] = STATEMENTS[_name]

@@ -76,7 +76,12 @@ def kpi_summary(cleaned: DataFrame) -> DataFrame:
 
     Grouping sets copy their input once per grain, so they run on the small rolled-up rows.
     """
-    return _grain_sets(finest_grain(cleaned), rolled_up_measures())
+    return summary_of_finest(finest_grain(cleaned))
+
+
+def summary_of_finest(finest: DataFrame) -> DataFrame:
+    """The four grains from partial measures, computed just now or stored."""
+    return _grain_sets(finest, rolled_up_measures())
 
 
 def kpi_summary_direct(cleaned: DataFrame) -> DataFrame:

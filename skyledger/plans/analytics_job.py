@@ -14,6 +14,7 @@ from skyledger.operators import checks as K
 from skyledger.operators import kpi, ranking
 from skyledger.operators.compare import compare_aggregates, same_values
 from skyledger.operators.rules import grain_stats
+from skyledger.plans import sql_views
 from skyledger.sources import tables
 
 TABLE_NAMES = {
@@ -104,7 +105,8 @@ def preview(query: DataFrame, rows: int = 20) -> DataFrame:
 
 def run(cleaned: DataFrame, baseline: DataFrame, period: C.Period, folder: str,
         reference: Reference | None = None) -> dict[str, DataFrame]:
-    """Check the input, aggregate, check, write, read back and check, compare with the reference tables."""
+    """Check the input, aggregate, check, write, read back and check, compare with the reference tables. Afterwards the
+    session's SQL knows the functions of `sql_views` and the stored tables by name."""
     spark = cleaned.sparkSession
     K.assert_checks(K.schema_check(cleaned, C.cleaned_schema()), "cleaned schema")
     K.assert_checks(K.input_checks(cleaned, period), "cleaned input")
@@ -124,4 +126,6 @@ def run(cleaned: DataFrame, baseline: DataFrame, period: C.Period, folder: str,
         summary.unpersist()
     for level, kept in (reference.tables if reference else {}).items():
         K.assert_checks(regression_checks(stored[level], kept, level, reference.window), f"{level} regression")
+    sql_views.register(cleaned)
+    register_views({TABLE_NAMES[level]: table for level, table in stored.items()})  # the stored tables instead of computed ones
     return stored

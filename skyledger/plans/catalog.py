@@ -16,9 +16,9 @@ from skyledger.functions.measures import count_violations, count_when, in_period
 from skyledger.functions.status import all_causes_reported, any_cause_reported, flight_status, is_delayed, profile_status, raw_status, time_band
 from skyledger.functions.text import normalized_text, parse_flight_date, safe_binary_flag, to_int
 from skyledger.operators import checks as K
-from skyledger.operators import cleaning, compare, diagnostics, duplicates, kpi, ledger, profiling, ranking, recount, reports, rules
-from skyledger.plans import analytics_job, cleaning_job, summary_job
-from skyledger.sources import digests, files, flight_view, tables
+from skyledger.operators import cleaning, compare, diagnostics, distinct_state, duplicates, kpi, ledger, profiling, ranking, recount, reports, rules
+from skyledger.plans import analytics_job, cleaning_job, kpi_state, sql_views, summary_job
+from skyledger.sources import digests, files, flight_view, month_folders, tables
 
 PERIOD = flight_view.VIEW_PERIOD
 QUARTER = C.Period((1996,), (1, 2, 3))
@@ -237,8 +237,7 @@ def write_partitioned(i: Inputs) -> DataFrame:
 
 @query
 def roundtrip_parquet(i: Inputs) -> DataFrame:
-    clocks = i.accepted.select("YEAR", "MONTH", *C.CLOCK_COLUMNS)
-    return tables.roundtrip_parquet(clocks, tables.scratch_path(i.spark, "clocks"), ["YEAR", "MONTH"])
+    return tables.roundtrip_parquet(i.accepted, tables.scratch_path(i.spark, "roundtrip"), ["YEAR", "MONTH"])
 
 
 @query
@@ -264,9 +263,10 @@ def write_summary_csv(i: Inputs) -> DataFrame:
 
 @query
 def union_files(i: Inputs) -> DataFrame:
-    # Two frames stand for two files; the reader itself scans any number of files at once.
+    # Two frames stand for two files, rows without a month among them; the reader itself scans any number of files at once.
     raw = i.raw
-    parts = [raw.filter("_source_month <= 6"), raw.filter("_source_month > 6")]
+    first = F.coalesce(F.col("_source_month") <= 6, F.lit(False))
+    parts = [raw.filter(first), raw.filter(~first)]
     return _counted(files.union_files(parts), "_source_file")
 
 
@@ -275,8 +275,8 @@ def union_files(i: Inputs) -> DataFrame:
 
 @query
 def normalize_text(i: Inputs) -> DataFrame:
-    return _counted(i.faulty.select(F.col("CRS_DEP_TIME").alias("text"), normalized_text("CRS_DEP_TIME").alias("normalized")),
-                    "text", "normalized")
+    cells = _counted(profiling.unpivot_values(i.faulty.select(*C.RAW_COLUMNS), C.RAW_COLUMNS), "column", "value")
+    return cells.select("column", F.col("value").alias("text"), normalized_text("value").alias("normalized"), "records")
 
 
 @query
@@ -289,8 +289,8 @@ def binary_flags(i: Inputs) -> DataFrame:
 
 @query
 def text_to_int(i: Inputs) -> DataFrame:
-    text = F.col("OP_CARRIER_AIRLINE_ID")
-    return _counted(i.faulty.select(text.alias("text"), to_int(text).alias("number")), "text", "number")
+    cells = _counted(profiling.unpivot_values(i.faulty.select(*C.INT_COLUMNS), C.INT_COLUMNS), "column", "value")
+    return cells.select("column", F.col("value").alias("text"), to_int(F.col("value")).alias("number"), "records")
 
 
 @query
@@ -331,8 +331,7 @@ def profile_statuses(i: Inputs) -> DataFrame:
 
 @query
 def classify_arrival_records(i: Inputs) -> DataFrame:
-    shown = ["_source_file", "FL_DATE", "OP_CARRIER_FL_NUM", "CANCELLED", "DIVERTED", *C.ESSENTIAL_ARRIVAL]
-    return _with_text_array(cleaning.classify_arrival_records(i.faulty).select(*shown, "rejection_reason", "missing_fields"))
+    return _with_text_array(cleaning.classify_arrival_records(i.faulty))
 
 
 @query
@@ -377,8 +376,7 @@ def unpivot_values(i: Inputs) -> DataFrame:
 
 @query
 def arrival_suspects(i: Inputs) -> DataFrame:
-    shown = ["_source_file", "FL_DATE", "OP_CARRIER_FL_NUM", "TAIL_NUM", *C.ESSENTIAL_ARRIVAL, *diagnostics.MARKERS]
-    return cleaning.arrival_suspects(i.faulty).select(*shown)
+    return cleaning.arrival_suspects(i.faulty)
 
 
 @query
@@ -671,9 +669,7 @@ def arrival_missingness(i: Inputs) -> DataFrame:
 
 @query
 def month_counts(i: Inputs) -> DataFrame:
-    # A month outside 1..12 is not a month of the calendar and joins the NULL bucket.
-    cleaned = cleaning.clean_flights(i.faulty).withColumn("MONTH", F.when(F.col("MONTH").between(1, 12), F.col("MONTH")))
-    return ledger.month_counts(cleaned)
+    return ledger.month_counts(cleaning.clean_flights(i.faulty))
 
 
 @query
@@ -1013,6 +1009,56 @@ def publish_refused(i: Inputs) -> DataFrame:
     return _by_month(tables.read_cleaned(i.spark, accepted_path)).withColumn("refused", F.lit(refused))
 
 
+@query
+def kpi_by_delivery(i: Inputs) -> DataFrame:
+    """All four grains from stored partial measures after two deliveries: the first has wrong quarters and a month too many, the
+    second corrects the quarters and takes that month away. Only the corrected months are computed again."""
+    path, state = tables.scratch_path(i.spark, "published"), tables.scratch_path(i.spark, "kpi-state")
+    first = F.col("MONTH") <= 3
+    surplus = i.accepted.where("YEAR = 1996 AND MONTH = 5").withColumn("YEAR", F.lit(1990))
+    wrong = i.accepted.where(~first | (F.col("OP_UNIQUE_CARRIER") != "C01")).unionByName(surplus)
+    tables.write_partitioned(wrong, path)
+    kpi_state.refresh(i.spark, path, state)
+    tables.replace_months(i.accepted.where(first), path)
+    tables.discard(i.spark, month_folders.folder(path, (1990, 5)))
+    kpi_state.refresh(i.spark, path, state)
+    return kpi_state.summary(i.spark, state)
+
+
+@query
+def distinct_counts_by_quarter(i: Inputs) -> DataFrame:
+    """Exact distinct counts of each quarter and of all months from stored bitmaps, after three deliveries of which the last
+    replaces months that were wrong."""
+    state, first = tables.scratch_path(i.spark, "distinct-state"), F.coalesce(F.col("_source_month") <= 6, F.lit(False))
+    distinct_state.deliver(i.faulty.where(first).withColumn("TAIL_NUM", F.concat(F.lit("W"), "TAIL_NUM")), state)
+    distinct_state.deliver(i.faulty.where(~first), state)
+    distinct_state.deliver(i.faulty.where(first), state)
+    quarter = F.concat(F.lit("Q"), F.floor((F.col("_source_month") + 2) / 3).cast("string")).alias("months")
+    quarters = distinct_state.merged(distinct_state.months(i.spark, state), quarter)
+    every = distinct_state.merged(quarters, F.lit("all").alias("months"))
+    return distinct_state.distinct_counts(quarters.unionByName(every), "months")
+
+
+def _by_sql(i: Inputs, cleaned: DataFrame, name: str, **parameters) -> DataFrame:
+    sql_views.register(cleaned)
+    return sql_views.run(i.spark, name, **parameters)
+
+
+@query
+def sql_airline_ranking(i: Inputs) -> DataFrame:
+    return _by_sql(i, i.accepted, "airline_ranking", min_completed_flights=RANK_VOLUME)
+
+
+@query
+def sql_high_delay_routes(i: Inputs) -> DataFrame:
+    return _by_sql(i, i.accepted, "high_delay_routes", min_completed_flights=RANK_VOLUME)
+
+
+@query
+def sql_departure_time_band(i: Inputs) -> DataFrame:
+    return _by_sql(i, i.accepted_faulty, "departure_time_band")
+
+
 def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build):
         return lambda spark, sf_dir: build(Inputs(spark, sf_dir))
