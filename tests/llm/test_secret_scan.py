@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import regex
 from pyspark.sql import functions as F
 
 from skyledger.llm import queries, secret_scan as S
@@ -18,7 +19,7 @@ def test_whole_table(spark):
         text, want = rows[r.doc_id], [m.span(1) for m in KEY.finditer(rows[r.doc_id])]
         planted += len(want)
         assert [(s.start, s.start + s.length) for s in r.secrets] == want
-        assert r.n_candidates == len(re.findall(S.CANDIDATE, text)) and r.n_secrets == len(want)
+        assert r.n_candidates == len(regex.findall(S.CANDIDATE, text)) and r.n_secrets == len(want)
         assert r.redacted_sha256 == hashlib.sha256(KEY.sub(f'token = "{S.MASK}"', text).encode()).hexdigest()
     assert planted > 5
 
@@ -58,7 +59,7 @@ def test_labelled_findings_can_be_given(spark, docs_of):
 def test_defined_cases(docs_of):
     rows = [(1, None), (2, ""), (3, "short"), (4, "x" * 300_000), (None, "k = 'a1b2c3d4e5f6a7b8c9d0'"), (5, "é汉\U0001f642 token: 'a1b2c3d4e5f6a7b8c9d0' é"), (5, "é汉\U0001f642 token: 'a1b2c3d4e5f6a7b8c9d0' é")]
     docs = docs_of(rows)
-    out = S.scan(docs).collect()  # one kind of plain findings at most: the plain rule decides
+    out = S.scan(docs).collect()
     by = {r.doc_id: r.scan for r in out}
     assert len(out) == len(rows) and by[1].redacted is None and by[1].n_candidates == 0 and by[2].redacted == ""
     assert [(s.start, s.length) for s in by[5].secrets] == [(12, 20)]
@@ -76,3 +77,46 @@ def test_a_repeated_finding_is_one_example(docs_of):
     rows = [(i, "same internationalisation word") for i in range(5000)] + corpus(random.Random(7))
     plain = S.labelled_findings(docs_of(rows), []).where("label = 0").count()
     assert plain == 2 * 241  # 120 words, 120 numbers and the repeated word
+
+
+PROBES = [  # text, the secret in it or None
+    ('AWS_SECRET_ACCESS_KEY = "wJalrXUtnFEMIK7MDENGbPxRfiCYzzEXKEYq4w9T"', "wJalrXUtnFEMIK7MDENGbPxRfiCYzzEXKEYq4w9T"),
+    ("api_key=0123456789abcdef0123 ", "0123456789abcdef0123"),
+    ('db_password = "hunter2!Tr0ub4"', "hunter2!Tr0ub4"),
+    ('password: "Xk9q2Lm4"', "Xk9q2Lm4"),
+    ("src/main/java/org/example/service/Reader is a file", None),
+    ("fixed by commit 9f8e7d6c5b4a39281706f5e4d3c2b1a09f8e7d6c yesterday", None),
+    ("at https://example.org/assets/9f8e7d6c5b4a39281706f5e4d3c2b1a09f8e7d6c there", None),
+    ("id: 550e8400-e29b-41d4-a716-446655440000", None),
+    ("password: required", None),
+]
+
+
+def probed(docs_of, rows):
+    found = S.scan(docs_of(rows + [(9000 + i, text) for i, (text, _) in enumerate(PROBES)])).where("doc_id >= 9000").collect()
+    spans = {r.doc_id - 9000: [r.text[s.start:s.start + s.length] for s in r.scan.secrets] for r in found}
+    return {PROBES[i][0]: spans[i] for i in range(len(PROBES))}
+
+
+def test_names_paths_and_hashes_are_no_secrets(docs_of):
+    want = {text: [secret] if secret else [] for text, secret in PROBES}
+    assert probed(docs_of, corpus(random.Random(8))) == want
+    assert probed(docs_of, []) == want  # nothing to learn from but the made examples
+
+
+def test_the_vote_recomputed(docs_of):
+    docs = docs_of(corpus(random.Random(9))[:40] + [(9000 + i, text) for i, (text, _) in enumerate(PROBES)])
+    known = S.dictionary(docs)
+    model = S.forest(S.labelled_findings(docs, known).union(S.examples(docs.sparkSession, known)))
+    rows = S.scanned(docs, known, "_s").select(F.explode("_s.found").alias("c")).select(F.col("c.of").alias("of"), S.probability(model, F.col("c.of")).alias("p")).collect()
+
+    def tree(node, values):
+        while node.subtreeDepth() > 0:
+            split = node.split()
+            node = node.leftChild() if values[split.featureIndex()] <= split.threshold() else node.rightChild()
+        return node.prediction()
+
+    assert len(rows) > 100
+    for r in rows[::7]:
+        values = [r.of[f] for f in S.FEATURES]
+        assert abs(r.p - sum(tree(t._java_obj.rootNode(), values) for t in model.trees) / len(model.trees)) < 1e-12
