@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from samples import TESTDATA
-from skyledger.operators import ledger
+from skyledger.operators import kpi, ledger
+from skyledger.plans import catalog
 from skyledger.plans.catalog import Inputs
 from skyledger.sources import flight_view, tables
 
@@ -40,3 +41,14 @@ def test_write_counts_each_condition_by_itself():
     """Their sum inside the row was one method too big to compile."""
     watch = ledger.raw_watch()
     assert len(watch.metrics()) == 2 + sum(len(group) for group in watch.groups.values())
+
+
+def test_bound_is_one_violation(spark, monkeypatch):
+    """The query's statement counts the table, not its surplus rows."""
+    class Few:
+        accepted_faulty = None
+
+    ceiling = 84 * 6
+    for rows, violations in ((ceiling, 0), (ceiling + 1, 1), (ceiling + 12, 1)):
+        monkeypatch.setattr(kpi, "departure_time_band", lambda _: spark.range(rows))
+        assert catalog.bounded_rows(Few()).first()["violations"] == violations
