@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from samples import TESTDATA
-from skyledger.operators import kpi, ledger
+from skyledger import contract as C
+from skyledger.operators import cleaning, kpi, ledger
 from skyledger.plans import catalog
 from skyledger.plans.catalog import Inputs
 from skyledger.sources import flight_view, tables
@@ -52,3 +53,21 @@ def test_bound_is_one_violation(spark, monkeypatch):
     for rows, violations in ((ceiling, 0), (ceiling + 1, 1), (ceiling + 12, 1)):
         monkeypatch.setattr(kpi, "departure_time_band", lambda _: spark.range(rows))
         assert catalog.bounded_rows(Few()).first()["violations"] == violations
+
+
+def test_accepting_interprets_nothing(spark):
+    """An array lambda in the condition used to be interpreted, with all expressions of the columns it was unfolded into."""
+    faulty = flight_view.faulty_flights(spark, f"{TESTDATA}/sf0.001")
+    for frame in (cleaning.accepted_flights(faulty), cleaning.rejected_flights(faulty)):
+        assert "lambda" not in frame._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_faulty_record_is_built_once(spark):
+    """Faults used to be planted into a finished record, and that record copied once more."""
+    nodes = flight_view.faulty_flights(spark, f"{TESTDATA}/sf0.001")._jdf.queryExecution().optimizedPlan()
+    wide, todo = 0, [nodes]
+    while todo:
+        node = todo.pop()
+        wide += node.output().size() >= len(C.RAW_COLUMNS)
+        todo += [node.children().apply(k) for k in range(node.children().size())]
+    assert wide == 1
