@@ -71,3 +71,26 @@ def test_faulty_record_is_built_once(spark):
         wide += node.output().size() >= len(C.RAW_COLUMNS)
         todo += [node.children().apply(k) for k in range(node.children().size())]
     assert wide == 1
+
+
+SINGLE_PASS = [
+    "normalize_text", "missing_overall", "file_profile", "cast_failures", "classify_arrival_records", "same_values", "signed_rows",
+    "approved_reject_match", "cleaned_partition_counts", "monthly_extremes", "departure_time_band", "day_of_week",
+    "roundtrip_parquet", "period_filter", "monthly_baseline_check",
+]
+
+
+def test_single_pass_stages_no_whole_table(spark, monkeypatch):
+    """All records or the whole accepted table used to be written first, with every column."""
+    monkeypatch.setattr(tables, "_STAGED", {})
+    for name in SINGLE_PASS:
+        catalog.callables()[name](spark, f"{TESTDATA}/sf0.001")
+        assert not tables._STAGED, name
+
+
+def test_single_pass_reads_what_is_staged(spark, monkeypatch):
+    monkeypatch.setattr(tables, "_STAGED", {})
+    inputs = Inputs(spark, f"{TESTDATA}/sf0.001")
+    inputs.faulty
+    assert inputs.once("faulty").inputFiles() and len(tables._STAGED) == 1
+    assert all("staged-" in file for file in inputs.once("faulty").inputFiles())
