@@ -4,7 +4,8 @@ Every document is a leaf: the SHA-256 of its columns. The leaves of a source, in
 source's tree, and the subroots, in order of source, that of the dataset's. A level is a table of (tree, idx, digest) and grows
 by sibling-shift self-joins: each node looks up its siblings at computed places (idx XOR 1 for two children, the other slots of
 its run for more), and the rows in slot zero, who then know the whole run, emit the parents. The siblings that a node met are
-its step of every proof below it, so proofs are handed down again from the subroots to the leaves by one equijoin a level. Levels
+its step of every proof below it, so proofs are handed down again from the subroots to the leaves by one equijoin a level, and
+written above the lowest level, so that no plan holds the joins of all levels at once. Levels
 shrink by the number of children, so all levels together cost about as much as one and a half times the lowest.
 
 Places come from one sort by ranges: rows are dealt by (tree, doc_id), each range is numbered on its own and moved on by the rows
@@ -114,7 +115,7 @@ def handed_down(built: list[DataFrame], above: DataFrame, children: int) -> Data
             nodes = built[height].where("size > 1").withColumn("parent", F.floor(F.col("idx") / children))
             nodes = nodes.join(up, (F.col("tree") == F.col("t")) & (F.col("parent") == F.col("up")))
             here = here.union(nodes.select("tree", "idx", F.concat(step, "rest").alias("path"), *carried))
-        paths = here
+        paths = stage(here, "paths") if height else here
     return paths
 
 

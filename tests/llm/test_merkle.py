@@ -86,3 +86,13 @@ def test_tampered_documents_do_not_verify(spark):
     assert all(r.verified == (r.folded_root == r.root) for r in found)
     rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in documents.values()]
     assert sorted((r.leaf, r.subroot, r.root, r.proof_sha256) for r in found) == [b[:4] for b in brute(rows)]
+
+
+def test_plan_does_not_grow_with_the_levels(spark):
+    """The proofs of all levels used to be joined in one plan."""
+    joins = []
+    for rows in (30, 300):
+        docs = spark.createDataFrame([(i, f"text {i}", "en", "web", 6) for i in range(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+        plan = merkle.manifest(docs)._jdf.queryExecution().optimizedPlan().toString()
+        joins.append(plan.count("Join "))
+    assert joins[0] == joins[1] <= 4
