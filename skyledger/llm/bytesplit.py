@@ -6,6 +6,7 @@ that (or of the longest single text) whatever the batch or partition size is.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -100,14 +101,22 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return data + (((data >= 65) & (data <= 90)).astype(np.uint8) << 5)
 
 
+def release() -> None:
+    """Hand freed memory back to the system, Arrow's and, where the C library can (glibc), that of all else."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def thrifty(function):
-    """An Arrow function that hands Arrow's freed memory back: a worker waits for its next task beside the JVM."""
+    """An Arrow function that hands freed memory back, at its end all of it: a worker waits for its next task beside the JVM."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for out in function(batches):
             yield out
             del out
             pa.default_memory_pool().release_unused()
-        pa.default_memory_pool().release_unused()
+        release()
 
     return run

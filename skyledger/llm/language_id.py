@@ -100,7 +100,7 @@ def training_sample(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]
     # A hash below a share that leaves a little more than `each` per language; what is too much goes below.
     share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, 1.3 * each / r["count"])))])
     picked = usable.where(F.col("place").bitwiseAND(F.lit((1 << 40) - 1)) < F.try_element_at(share, F.col("lang")) * float(1 << 40))
-    sample = picked.mapInArrow(featurizer, "lang string, place long, bits binary")
+    sample = picked.mapInArrow(B.thrifty(featurizer), "lang string, place long, bits binary")
     kept = sample.orderBy("place", "lang", "bits").limit(2 * each * len(names)).collect()
     number, seen, bits, labels = {n: i for i, n in enumerate(names)}, [0] * len(names), [], []
     for r in kept:
@@ -198,7 +198,7 @@ def tagger(names: list[str], weights, flag: str):
             found = [lang != UNKNOWN for out in score(iter([asked])) for lang in out.column("lang_pred").to_pylist()]
             yield batch.set_column(batch.schema.get_field_index(flag), flag, pa.array(found, pa.bool_()))
 
-    return tag
+    return B.thrifty(tag)
 
 
 def with_language_only(docs: DataFrame) -> DataFrame:
