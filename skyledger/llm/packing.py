@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import array
 import bisect
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -83,17 +84,27 @@ def word_ends(tokenizer) -> np.ndarray | None:
     return marks
 
 
+def one_word(part: bytes) -> bool:
+    """Whether the tokenizer sees one word in a part by itself: nothing but letters, also after it has composed and lower-cased
+    them (a capital dotted I, say, becomes a letter and a mark)."""
+    if part.isascii():
+        return part.isalpha()
+    text = part.decode("utf-8", "replace")
+    return text.isalpha() and len(text.lower()) == len(text) and unicodedata.is_normalized("NFC", text)
+
+
 def encode_parts(tokenizer, parts: list[bytes], ends: np.ndarray | None) -> Iterator[tuple[bytes, bytes]]:
-    """Each part with the bytes of its ids. ASCII letters alone are one word to the tokenizer and each digit is one, so many
+    """Each part with the bytes of its ids. Letters alone are one word to the tokenizer and each ASCII digit is one, so many
     such parts are encoded as one text and its ids cut behind the last token of each part; where the words do not come out
     even, and for all other parts, each is encoded by itself."""
-    even = lambda p: ends is not None and (p.isalpha() or p.isdigit())
-    words, single = [p for p in parts if even(p)], [p for p in parts if not even(p)]
+    words, single = [], []
+    for p in parts:
+        (words if ends is not None and (p.isdigit() or one_word(p)) else single).append(p)
     groups = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
     for group, encoded in zip(groups, tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)):
         ids = np.array(encoded.ids, np.uint32)
         last = np.flatnonzero(ends[ids])
-        counts = np.cumsum([1 if p.isalpha() else len(p) for p in group])
+        counts = np.cumsum([len(p) if p.isdigit() else 1 for p in group])
         if len(last) != counts[-1]:
             single += group
             continue
@@ -120,8 +131,11 @@ def piece_cutter(path: str, capacity: int):
                 bounds = np.append(starts_at, len(solid)).astype(np.int64)
                 parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts_at), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(solid))]).dictionary_encode()
                 distinct, which = parts.dictionary.to_pylist(), parts.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-                known.update(encode_parts(tokenizer, [w for w in distinct if w not in known], ends_word))
-                ids_of = [known[w] for w in distinct]
+                ids_of = list(map(known.get, distinct))
+                new = [i for i, ids in enumerate(ids_of) if ids is None]
+                known.update(encode_parts(tokenizer, [distinct[i] for i in new], ends_word))
+                for i in new:
+                    ids_of[i] = known[distinct[i]]
                 sizes = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4
                 pool = np.frombuffer(b"".join(ids_of), np.uint32)
                 starts = np.append(0, np.cumsum(sizes))[:-1]

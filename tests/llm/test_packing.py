@@ -129,3 +129,24 @@ def test_levels_shrink_whatever_the_lengths_are(spark, docs_of, monkeypatch, low
     lengths = [len(t) // 2 + 1 for _, t in rows]
     in_one_task = packing.improve(packing.best_fit(lengths, 409), lengths, 409)
     assert above + -(-sum(lengths) // 409) <= len(in_one_task) * 1.01 + 1
+
+
+def test_letters_of_any_script_are_encoded_together():
+    """Words with a letter beyond ASCII used to be a text for the tokenizer each."""
+    tokenizer, texts = load(PATH), 0
+
+    class Counted:
+        model = tokenizer.model
+
+        def encode_batch_fast(self, batch, **options):
+            nonlocal texts
+            texts += len(batch)
+            return tokenizer.encode_batch_fast(batch, **options)
+
+    every = [chr(c) for c in range(0xAA, 0x30000) if chr(c).isalpha()]
+    words = sorted({w.encode() for a, b in zip(every, every[7:]) for w in (a, a + b)} | {"beröä".encode(), "café".encode(), b"plain", b"389"})
+    for group, most in ((words, len(words)), ([w for w in words if w.decode() < "ɀ"], 20)):
+        texts = 0
+        found = dict(packing.encode_parts(Counted(), group, packing.word_ends(tokenizer)))
+        assert found == {w: np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32).tobytes() for w in group}
+        assert texts <= most
