@@ -52,3 +52,11 @@ def test_a_failed_part_leaves_nothing_dealt(spark, folder):
     with pytest.raises(Exception):
         compare._by_part(frame.withColumn("surplus", F.lit(1)), F.col("id") % 2, 2, lambda rows: rows.select(F.raise_error(F.lit("no"))))
     assert not glob.glob(f"{folder}/dealt-*") and spark.conf.get(tables.SHUFFLE_CLEANUP) == "false"
+
+
+def test_whole_tables_are_compared_in_parts(spark, folder):
+    """All records of both sides used to lie in one shuffle."""
+    for name in ("signed_rows", "diff", "same_values"):
+        found = catalog.callables()[name](spark, f"{TESTDATA}/sf0.001")
+        assert found.inputFiles() and all("differences-" in file for file in found.inputFiles()), name
+    assert not tables._STAGED and not glob.glob(f"{folder}/dealt-*")
