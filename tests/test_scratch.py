@@ -60,3 +60,10 @@ def test_whole_tables_are_compared_in_parts(spark, folder):
         found = catalog.callables()[name](spark, f"{TESTDATA}/sf0.001")
         assert found.inputFiles() and all("differences-" in file for file in found.inputFiles()), name
     assert not tables._STAGED and not glob.glob(f"{folder}/dealt-*")
+
+
+def test_records_are_written_as_compressed_text_at_once(spark, folder):
+    """They used to be staged, shuffled and written uncompressed."""
+    found = catalog.callables()["read_raw_csv"](spark, f"{TESTDATA}/sf0.001")
+    assert not tables._STAGED and {file.rpartition(".csv")[2] for file in found.inputFiles()} == {".gz"}
+    assert found.count() == Inputs(spark, f"{TESTDATA}/sf0.001").once("raw").count()
