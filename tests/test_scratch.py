@@ -67,3 +67,23 @@ def test_records_are_written_as_compressed_text_at_once(spark, folder):
     found = catalog.callables()["read_raw_csv"](spark, f"{TESTDATA}/sf0.001")
     assert not tables._STAGED and {file.rpartition(".csv")[2] for file in found.inputFiles()} == {".gz"}
     assert found.count() == Inputs(spark, f"{TESTDATA}/sf0.001").once("raw").count()
+
+
+def test_malformed_rows_keep_only_the_parse(spark, folder):
+    """All records used to be staged, and the text to stay."""
+    found = catalog.callables()["malformed_rows"](spark, f"{TESTDATA}/sf0.001")
+    assert not tables._STAGED and [name.partition("-")[0] for name in os.listdir(folder)] == ["parsed"]
+    assert found.agg(F.sum("read_rows") + F.sum("malformed_rows")).first()[0] == Inputs(spark, f"{TESTDATA}/sf0.001").once("raw").count()
+
+
+def test_csv_text_is_written_as_it_is(spark, folder, small):
+    """Quotes, separators, spaces, comment signs and other letters, by several tasks, each of which heads its own files."""
+    texts = ['a,"b, c",d', '"x ""y"" z",1', " lead, trail ", "#1,2", "\\,\\\"", "ü,漢", ",,,", '"', "a\tb"]
+    records = spark.createDataFrame([(f"s{k % 2}", t) for k, t in enumerate(texts * 4)], "source string, text string").repartition(4)
+    path = catalog._csv_folder(small, records, "text")
+    files = glob.glob(f"{path}/source=*/*.gz")
+    lines = Counter((r["source"], r["value"]) for r in spark.read.text(path).collect())
+    header = ",".join(C.RAW_COLUMNS)
+    assert len(files) > 2 and sum(n for (_, text), n in lines.items() if text == header) == len(files)
+    assert {line: n for line, n in lines.items() if line[1] != header} == Counter((r["source"], r["text"]) for r in records.collect())
+    assert all(spark.read.text(file).first()["value"] == header for file in files)
