@@ -87,3 +87,10 @@ def test_csv_text_is_written_as_it_is(spark, folder, small):
     assert len(files) > 2 and sum(n for (_, text), n in lines.items() if text == header) == len(files)
     assert {line: n for line, n in lines.items() if line[1] != header} == Counter((r["source"], r["text"]) for r in records.collect())
     assert all(spark.read.text(file).first()["value"] == header for file in files)
+
+
+def test_publishing_reads_what_is_published(spark, folder):
+    """Raw records and the accepted table used to be staged, and the faulty records twice, once by the query and once by the job."""
+    found = catalog.callables()["publish_refused"](spark, f"{TESTDATA}/sf0.001")
+    assert not tables._STAGED and os.listdir(folder) and not glob.glob(f"{folder}/raw-*")
+    assert {r["refused"] for r in found.collect()} == {True}
